@@ -1,0 +1,18 @@
+"""A fresh folder that every executor can see."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """New folder name below ``spark.checkpoint.dir``; a temporary folder only on a local master."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/matflow-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="matflow-")
