@@ -25,8 +25,14 @@ def tolerant_double(value: Column | str) -> Column:
 
 def tolerant_date(value: Column | str) -> Column:
     """Text that starts with y-m-d or y/m/d to date; anything else gives NULL."""
-    leading = F.regexp_extract(as_column(value), DATE_PATTERN, 1)
-    return F.translate(leading, "/", "-").try_cast("date")
+    value = as_column(value)
+    # A plain cast reads the usual y-m-d. It would also read a bare year or month, hence the test.
+    usual = (F.substring(value, 5, 1) == "-") & (F.length(F.trim(value)) >= 8)
+    leading = F.regexp_extract(value, DATE_PATTERN, 1)
+    return F.coalesce(
+        F.when(usual, value.try_cast("date")),
+        F.replace(leading, F.lit("/"), F.lit("-")).try_cast("date"),
+    )
 
 
 def code_to_text(number: Column | str) -> Column:

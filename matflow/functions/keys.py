@@ -22,26 +22,30 @@ def split_fixed(value: Column | str, names: Sequence[str], sep: str = "~") -> li
 
     An empty name skips that field.
     """
-    return _fields(F.split(as_column(value), rf"\Q{sep}\E"), names)
+    # A single escaped character is split without a regular expression.
+    literal = "".join(char if char.isalnum() else f"\\{char}" for char in sep)
+    return _fields(F.split(as_column(value), literal), names)
 
 
-def split_regex(
-    value: Column | str, names: Sequence[str], pattern: str = NON_ALPHANUMERIC
-) -> list[Column]:
-    """Named parts of a compound code, cut at every run of non-alphanumeric characters."""
-    return _fields(F.split(as_column(value), pattern), names)
+def split_regex(value: Column | str, names: Sequence[str]) -> list[Column]:
+    """Named parts of a compound code, cut at every run of non-alphanumeric characters.
+
+    Runs become one '~' first: ``split`` would compile its expression anew for every row.
+    """
+    marked = F.regexp_replace(as_column(value), NON_ALPHANUMERIC, "~")
+    return split_fixed(marked, names, "~")
 
 
 def strip_leading_zeros(value: Column | str) -> Column:
-    return F.regexp_replace(as_column(value), "^0+", "")
+    return F.ltrim(as_column(value), F.lit("0"))
 
 
 def remove_char(value: Column | str, char: str = "-") -> Column:
-    return F.translate(as_column(value), char, "")
+    return replace_char(value, char, "")
 
 
 def replace_char(value: Column | str, old: str = "_", new: str = "-") -> Column:
-    return F.translate(as_column(value), old, new)
+    return F.replace(as_column(value), F.lit(old), F.lit(new))
 
 
 def composite_key(*parts: Column | str, sep: str = "-") -> Column:

@@ -14,6 +14,7 @@ from matflow.operators.grouping import distinct_rows, group_sum_strict
 from matflow.operators.lookups import (
     broadcast_if_small,
     duplicate_keys,
+    fits_broadcast,
     join_bom_forecast,
     join_campus_numeric,
     join_campus_text,
@@ -38,6 +39,7 @@ __all__ = [
     "clean_names",
     "distinct_rows",
     "duplicate_keys",
+    "fits_broadcast",
     "group_sum_strict",
     "infer_types",
     "inferred_types",

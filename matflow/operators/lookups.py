@@ -40,16 +40,23 @@ def measured_bytes(df: DataFrame) -> int:
     return rows * (_ROW_BYTES + _FIELD_BYTES * len(df.columns)) + text
 
 
-def broadcast_if_small(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast if the lookup measures at most ``max_bytes``; else return it as it is.
+def fits_broadcast(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if the lookup measures at most ``max_bytes``.
 
     Measuring costs one scan of the lookup and saves a shuffle of the large side. It is skipped where
-    the planner will broadcast anyway, and where the session has switched broadcasts off.
+    the session has switched broadcasts off.
+    """
+    return _planner_threshold(lookup) > 0 and measured_bytes(lookup) <= max_bytes
+
+
+def broadcast_if_small(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the lookup is measured to be small; else return it as it is.
+
+    It is not measured where the planner will broadcast it anyway.
     """
-    threshold = _planner_threshold(lookup)
-    if threshold <= 0 or _planner_estimate(lookup) <= threshold:
+    if _planner_estimate(lookup) <= _planner_threshold(lookup):
         return lookup
-    return F.broadcast(lookup) if measured_bytes(lookup) <= max_bytes else lookup
+    return F.broadcast(lookup) if fits_broadcast(lookup, max_bytes) else lookup
 
 
 def lookup_join(

@@ -54,13 +54,16 @@ def pivot_months(
     # Without groups there are at most ``take`` rows; with groups the size is measured.
     positions = broadcast_if_small(positions) if by else F.broadcast(positions)
     placed = lookup_join(df.select(*by, key, month, qty), positions, [*by, month])
-    cells = []
-    for number, name in enumerate(month_names("fcst", take), start=1):
-        here = F.col("month_no") == number
-        unknown = F.count_if(here & F.col(qty).isNull())
-        total = null_to_zero(F.sum(F.when(here, F.col(qty))))
-        cells.append(F.when(unknown > 0, 0.0).otherwise(total).alias(name))
-    return placed.groupBy(*by, key).agg(*cells)
+    # A missing quantity counts as NaN, which stays NaN in any sum: one aggregate per month is enough.
+    marked = placed.withColumn("__qty", F.coalesce(qty, F.lit(float("nan"))))
+    sums = [
+        F.sum(F.when(F.col("month_no") == number, F.col("__qty"))).alias(name)
+        for number, name in enumerate(month_names("fcst", take), start=1)
+    ]
+    totals = marked.groupBy(*by, key).agg(*sums)
+    return totals.select(
+        *by, key, *(F.nanvl(null_to_zero(name), F.lit(0.0)).alias(name) for name in month_names("fcst", take))
+    )
 
 
 def pivot_all_months(df: DataFrame, key: str, month: str, qty: str) -> DataFrame:

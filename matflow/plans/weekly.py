@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matflow.operators.lookups import broadcast_if_small, lookup_join
+from matflow.operators.lookups import fits_broadcast, lookup_join
 from matflow.plans.bom import bom_demand
 from matflow.plans.exceptions import exception_enriched
 from matflow.plans.forecast import forecast_lag1
@@ -55,9 +55,11 @@ def weekly_bom_demand(bom: DataFrame, forecast: DataFrame) -> DataFrame:
     snapshots that no run uses are skipped.
     """
     chosen = select_snapshot(bom.select("as_of"), forecast.select("snapshot_date"))
-    used = broadcast_if_small(chosen.select("snapshot_date").distinct())
+    # One row per run; the snapshots in use are no more than the runs.
+    sized = F.broadcast if fits_broadcast(chosen) else (lambda lookup: lookup)
+    used = sized(chosen.select("snapshot_date").distinct())
     lag1 = forecast_lag1(forecast.join(used, "snapshot_date", "left_semi"), by=["snapshot_date"])
-    dated = lookup_join(bom, broadcast_if_small(chosen), RUN, null_safe=False)
+    dated = lookup_join(bom, sized(chosen), RUN, null_safe=False)
     return bom_demand(dated, lag1, by=["snapshot_date"], width=len(dated.columns))
 
 

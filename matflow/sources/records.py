@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A run date in a path is a folder named mm.dd.yyyy.
+# A run date in a path is a folder mm.dd.yyyy, or a folder mm.dd below a folder yyyy.
 _RUN_FOLDER = r"/(\d{2}\.\d{2}\.\d{4})/"
+_YEAR_AND_DAY_FOLDERS = r"/(\d{4}/\d{2}\.\d{2})/"
 
 
 def as_of_from_path(path: Column | None = None) -> Column:
     """Run date of the file a row was read from; NULL if the path names none."""
     path = F.col("_metadata.file_path") if path is None else path
-    return F.try_to_date(F.regexp_extract(path, _RUN_FOLDER, 1), "MM.dd.yyyy")
+    return F.coalesce(
+        F.try_to_date(F.regexp_extract(path, _RUN_FOLDER, 1), "MM.dd.yyyy"),
+        F.try_to_date(F.regexp_extract(path, _YEAR_AND_DAY_FOLDERS, 1), "yyyy/MM.dd"),
+    )
 
 
 def read_record_lines(spark: SparkSession, *paths: str) -> DataFrame:

@@ -14,6 +14,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("matflow-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
