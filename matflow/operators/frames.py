@@ -100,7 +100,8 @@ def inferred_types(df: DataFrame) -> DataFrame:
         value = blank_to_null(F.col(f"`{name}`"))
         verdict = F.lit("string")
         for type_name, fits in reversed(_candidates(value).items()):
-            verdict = F.when(F.coalesce(F.every(fits), F.lit(True)), type_name).otherwise(verdict)
+            present = F.when(value.isNotNull(), fits)
+            verdict = F.when(F.coalesce(F.every(present), F.lit(True)), type_name).otherwise(verdict)
         verdicts.append(verdict.alias(name))
     return df.agg(*verdicts).unpivot([], names, "column", "type")
 
