@@ -1,9 +1,10 @@
 """Left and semi joins of a large table to a lookup.
 
-A lookup is broadcast only when its size is known to be small: either the planner's own estimate is
-below ``spark.sql.autoBroadcastJoinThreshold`` (then Spark broadcasts it without being told), or
-``broadcast_if_small`` has counted its rows and bytes. Any other lookup is joined by a shuffle, where
-adaptive execution splits hot keys of the large side (``spark.sql.adaptive.skewJoin``).
+A lookup is broadcast only when its size is known to be small. For a stored lookup that is the
+planner's own test of its files against ``spark.sql.autoBroadcastJoinThreshold``, so it gets no hint.
+For a computed lookup, whose size the planner cannot know, ``broadcast_if_small`` measures rows and
+bytes first. Any other lookup is joined by a shuffle, where adaptive execution splits hot keys of the
+large side (``spark.sql.adaptive.skewJoin``).
 """
 
 from __future__ import annotations
@@ -24,14 +25,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES, _FIELD_BYTES = 48, 16
 
 
-def _planner_estimate(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _planner_threshold(df: DataFrame) -> int:
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
 def measured_bytes(df: DataFrame) -> int:
     """Upper bound of the in-memory size, from one aggregate over the table."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
@@ -43,19 +36,15 @@ def measured_bytes(df: DataFrame) -> int:
 def fits_broadcast(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True if the lookup measures at most ``max_bytes``.
 
-    Measuring costs one scan of the lookup and saves a shuffle of the large side. It is skipped where
-    the session has switched broadcasts off.
+    Measuring costs one scan of the lookup and saves a shuffle of the large side. A session that has
+    switched broadcasts off (a negative threshold) gets none.
     """
-    return _planner_threshold(lookup) > 0 and measured_bytes(lookup) <= max_bytes
+    threshold = lookup.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return not threshold.startswith("-") and measured_bytes(lookup) <= max_bytes
 
 
 def broadcast_if_small(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast if the lookup is measured to be small; else return it as it is.
-
-    It is not measured where the planner will broadcast it anyway.
-    """
-    if _planner_estimate(lookup) <= _planner_threshold(lookup):
-        return lookup
+    """Hint a broadcast if the lookup is measured to be small; else return it as it is."""
     return F.broadcast(lookup) if fits_broadcast(lookup, max_bytes) else lookup
 
 
@@ -85,14 +74,13 @@ def duplicate_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def join_campus_text(df: DataFrame, campus: DataFrame) -> DataFrame:
     """Add ``campus`` by the location text."""
-    lookup = campus.select("location", "campus")
-    return lookup_join(df, broadcast_if_small(lookup), ["location"])
+    return lookup_join(df, campus.select("location", "campus"), ["location"])
 
 
 def join_campus_numeric(df: DataFrame, campus: DataFrame, key: str) -> DataFrame:
     """Add ``campus`` by the location number in ``key``."""
     lookup = campus.select(tolerant_double("location").alias(key), "campus")
-    return lookup_join(df, broadcast_if_small(lookup), [key])
+    return lookup_join(df, lookup, [key])
 
 
 def manufacturer_keys(mfg_map: DataFrame) -> DataFrame:
