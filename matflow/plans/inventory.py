@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from matflow.functions.aggregates import strict_sum
 from matflow.functions.casts import blank_to_null, code_to_text, tolerant_double
 from matflow.functions.keys import composite_key, dash_key, remove_char, replace_char
-from matflow.functions.nulls import null_to_zero
 from matflow.functions.predicates import (
     is_castable,
     is_finished_good,
@@ -213,14 +212,15 @@ def fg_inventory_mfg(
     Both sides are reduced before the join: stock to one row per key, the map to its distinct rows
     with their number. A repeated map row would repeat the stock rows, so it multiplies their sum.
     """
-    balance = tolerant_double("inventory_qty_cases")
+    # Only a missing text counts as 0; a text that is no number stays unknown.
+    qty = F.coalesce("inventory_qty_cases", F.lit("0")) if missing_is_zero else "inventory_qty_cases"
     rows = analysis.select(
         "location",
         "location_nm",
         remove_char("product_label_sku").alias("item"),
         "description",
         F.col("inventory_hold_status").alias("hold_status"),
-        (null_to_zero(balance) if missing_is_zero else balance).alias("balance"),
+        tolerant_double(qty).alias("balance"),
     )
     if drop_items:
         rows = rows.filter(~F.col("item").isin(*drop_items))

@@ -36,8 +36,12 @@ GROUPED = ("rm_inventory", "fg_inventory")
 
 @dataclass(frozen=True)
 class WeeklyInputs:
-    """Inputs of many runs: all carry ``as_of``, the forecast ``snapshot_date``, campus neither."""
+    """Inputs of many runs: all carry ``as_of``, the forecast ``snapshot_date``, campus neither.
 
+    ``runs`` lists the run dates of the other inputs in column ``as_of``.
+    """
+
+    runs: DataFrame
     campus: DataFrame
     po: DataFrame
     receipt: DataFrame
@@ -48,13 +52,13 @@ class WeeklyInputs:
     erp_lots: DataFrame
 
 
-def weekly_bom_demand(bom: DataFrame, forecast: DataFrame) -> DataFrame:
+def weekly_bom_demand(bom: DataFrame, forecast: DataFrame, runs: DataFrame) -> DataFrame:
     """Material demand of every run with its own lag-1 snapshot.
 
     A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run;
     snapshots that no run uses are skipped.
     """
-    chosen = select_snapshot(bom.select("as_of"), forecast.select("snapshot_date"))
+    chosen = select_snapshot(runs, forecast.select("snapshot_date"))
     # One row per run; the snapshots in use are no more than the runs.
     sized = F.broadcast if fits_broadcast(chosen) else (lambda lookup: lookup)
     used = sized(chosen.select("snapshot_date").distinct())
@@ -69,7 +73,7 @@ def weekly_tables(inputs: WeeklyInputs) -> dict[str, DataFrame]:
     return {
         "po": open_po(inputs.po, inputs.campus, by=RUN),
         "receipt": receipts(inputs.receipt, inputs.campus, by=RUN),
-        "bom": weekly_bom_demand(inputs.bom, inputs.forecast),
+        "bom": weekly_bom_demand(inputs.bom, inputs.forecast, inputs.runs),
         "exception_report": exception_enriched(inputs.exception_report, inputs.campus),
         "rm_inventory": rm_inventory(rm, inputs.erp_lots, inputs.exception_report, by=RUN),
         "fg_inventory": fg_inventory_lot(fg, by=RUN),

@@ -20,8 +20,9 @@ def as_of_from_path(path: Column | None = None) -> Column:
 
 
 def read_record_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """(line, as_of) of headerless one-column files."""
-    return spark.read.text(list(paths)).select(F.col("value").alias("line"), as_of_from_path().alias("as_of"))
+    """(line, as_of) of headerless one-column files; blank lines are skipped."""
+    lines = spark.read.text(list(paths)).filter(F.trim("value") != "")
+    return lines.select(F.col("value").alias("line"), as_of_from_path().alias("as_of"))
 
 
 def read_numbered_lines(spark: SparkSession, *paths: str) -> DataFrame:

@@ -158,6 +158,11 @@ def _parts_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_part(active, spark, sf_dir)
 
 
+def fx_ship_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run dates of the weekly inputs."""
+    return _lines(spark, sf_dir).select(week_of("l_shipdate").alias("as_of")).distinct()
+
+
 def fx_bom_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parts_by_week(spark, sf_dir).select("as_of", *_bom_columns())
 

@@ -457,12 +457,15 @@ def lag1_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def weekly_bom_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.weekly.weekly_bom_demand(
-        fx.fx_bom_week(spark, sf_dir), fx.fx_dsx_snapshots(spark, sf_dir)
+        fx.fx_bom_week(spark, sf_dir),
+        fx.fx_dsx_snapshots(spark, sf_dir),
+        fx.fx_ship_weeks(spark, sf_dir),
     )
 
 
 def weekly_inputs(spark: SparkSession, sf_dir: str) -> plans.WeeklyInputs:
     return plans.WeeklyInputs(
+        runs=fx.fx_ship_weeks(spark, sf_dir),
         campus=fx.fx_campus(spark, sf_dir),
         po=fx.fx_po(spark, sf_dir),
         receipt=fx.fx_receipt(spark, sf_dir),

@@ -253,7 +253,8 @@ def test_number_suffix_codes_are_finished_goods(spark):
 
 def test_repeated_map_rows_multiply_the_stock(spark):
     analysis = spark.createDataFrame(
-        [("1", "n", "A-ABC", "d", "u", "2"), ("1", "n", "AABC", "d", "u", "3"), ("1", "n", "B-ABC", "d", "u", None), ("1", "n", "'1", "d", "u", "1")],
+        [("1", "n", "A-ABC", "d", "u", "2"), ("1", "n", "AABC", "d", "u", "3"), ("1", "n", "B-ABC", "d", "u", None),
+         ("1", "n", "C-ABC", "d", "u", "n/a"), ("1", "n", "'1", "d", "u", "1")],
         "location string, location_nm string, product_label_sku string, description string, "
         "inventory_hold_status string, inventory_qty_cases string",
     )
@@ -267,12 +268,14 @@ def test_repeated_map_rows_multiply_the_stock(spark):
         ("1-AABC", "K-AABC", "5.0"),
         ("1-AABC", "M-AABC", "10.0"),
         ("1-BABC", "None", "None"),
+        ("1-CABC", "None", "None"),
     ]
     later = plans.fg_inventory_mfg(analysis, mfg_map, missing_is_zero=True, drop_items=["'1"]).collect()
-    assert sorted((r.ref, r.current_inventory_balance) for r in later) == [
-        ("1-AABC", 5.0),
-        ("1-AABC", 10.0),
-        ("1-BABC", 0.0),
+    assert sorted((r.ref, str(r.current_inventory_balance)) for r in later) == [
+        ("1-AABC", "10.0"),
+        ("1-AABC", "5.0"),
+        ("1-BABC", "0.0"),
+        ("1-CABC", "None"),
     ]
 
 

@@ -21,7 +21,7 @@ def day(value):
 def test_record_lines_with_run_date(spark, tmp_path):
     folder = tmp_path / "2023" / "12.12"
     folder.mkdir(parents=True)
-    (folder / "po.csv").write_text("GLB-RP-1~00026~x~y~5~P1~2024-01-02~z\nshort~1\n")
+    (folder / "po.csv").write_text("GLB-RP-1~00026~x~y~5~P1~2024-01-02~z\n\nshort~1\n")
     other = tmp_path / "no date"
     other.mkdir()
     (other / "po.csv").write_text("a~b\n")
