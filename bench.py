@@ -47,6 +47,7 @@ def session(cpus: str, events: str | None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if events:
         builder = (

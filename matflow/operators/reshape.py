@@ -44,15 +44,19 @@ def pivot_months(
     by: Sequence[str] = (),
     skip: int = SKIP_MONTHS,
     take: int = HORIZON,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per key with the ``take`` months after the first ``skip`` as fcst_m01, fcst_m02, ...
 
     A month of a key is 0 when it has no rows or when any of its rows has no quantity. All months are
     conditional aggregates of one groupBy, so there is a single shuffle on the key.
+
+    The month positions, at most ``take`` rows per ``by`` group, are broadcast if there are no groups
+    or the caller has found them to be few; otherwise they are measured first.
     """
     positions = month_positions(df, month, by, skip, take)
-    # Without groups there are at most ``take`` rows; with groups the size is measured.
-    positions = broadcast_if_small(positions) if by else F.broadcast(positions)
+    bounded = few_groups or not by
+    positions = F.broadcast(positions) if bounded else broadcast_if_small(positions)
     placed = lookup_join(df.select(*by, key, month, qty), positions, [*by, month])
     # A missing quantity counts as NaN, which stays NaN in any sum: one aggregate per month is enough.
     marked = placed.withColumn("__qty", F.coalesce(qty, F.lit(float("nan"))))

@@ -31,13 +31,16 @@ def forecast_lag1(
     by: Sequence[str] = (),
     skip: int = SKIP_MONTHS,
     take: int = HORIZON,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per mfg_ref with fcst_m01..m12: the months of the snapshot after the first two.
 
     Months are placed by their calendar order over the whole snapshot. Rows are grouped by the key
     with '_' and only then get their '-', as two different keys may become the same text.
+    ``few_groups`` is that of ``pivot_months``.
     """
-    wide = pivot_months(forecast_cases(forecast, by), "mfg_ref", MONTH, CASES, by, skip, take)
+    cases = forecast_cases(forecast, by)
+    wide = pivot_months(cases, "mfg_ref", MONTH, CASES, by, skip, take, few_groups)
     return wide.withColumn("mfg_ref", replace_char("mfg_ref"))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matflow.operators.lookups import fits_broadcast, lookup_join
+from matflow.operators.lookups import lookup_join
 from matflow.plans.bom import bom_demand
 from matflow.plans.exceptions import exception_enriched
 from matflow.plans.forecast import forecast_lag1
@@ -20,6 +21,9 @@ from matflow.sources.snapshots import select_snapshot
 
 RUN = ("as_of",)
 
+# Run dates up to which their snapshots, and the twelve months of each, are broadcast (some 12 MB).
+FEW_RUNS = 10_000
+
 # Quantity column that the run summary adds up, by table.
 QUANTITY = {
     "po": "qty",
@@ -51,19 +55,34 @@ class WeeklyInputs:
     lots: DataFrame
     erp_lots: DataFrame
 
+    def only(self, *run_dates: date) -> WeeklyInputs:
+        """The same inputs for some run dates; stored inputs then read only those partitions."""
+        dated = {
+            field.name: getattr(self, field.name).filter(F.col("as_of").isin(*run_dates))
+            for field in fields(self)
+            if "as_of" in getattr(self, field.name).columns
+        }
+        return replace(self, **dated)
+
 
 def weekly_bom_demand(bom: DataFrame, forecast: DataFrame, runs: DataFrame) -> DataFrame:
     """Material demand of every run with its own lag-1 snapshot.
 
-    A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run;
-    snapshots that no run uses are skipped.
+    A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run.
+    The dates of the first and last snapshot in use limit what is read of the forecast.
     """
     chosen = select_snapshot(runs, forecast.select("snapshot_date"))
-    # One row per run; the snapshots in use are no more than the runs.
-    sized = F.broadcast if fits_broadcast(chosen) else (lambda lookup: lookup)
-    used = sized(chosen.select("snapshot_date").distinct())
-    lag1 = forecast_lag1(forecast.join(used, "snapshot_date", "left_semi"), by=["snapshot_date"])
-    dated = lookup_join(bom, sized(chosen), RUN, null_safe=False)
+    day = F.col("snapshot_date")
+    count, first, last = chosen.agg(F.count(F.lit(1)), F.min(day), F.max(day)).first()
+    # The snapshots in use are no more than the runs, and their months no more than HORIZON each.
+    few = count <= FEW_RUNS
+    used = chosen.select("snapshot_date").distinct()
+    if few:
+        chosen, used = F.broadcast(chosen), F.broadcast(used)
+    between = day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    in_use = forecast.filter(between).join(used, "snapshot_date", "left_semi")
+    lag1 = forecast_lag1(in_use, by=["snapshot_date"], few_groups=few)
+    dated = lookup_join(bom, chosen, RUN, null_safe=False)
     return bom_demand(dated, lag1, by=["snapshot_date"], width=len(dated.columns))
 
 

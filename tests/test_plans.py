@@ -146,3 +146,15 @@ def test_hot_key_is_split(spark, conf, tmp_path):
 def test_clustered_publish_rebalances(spark):
     tables = spark.range(10).withColumn("as_of", F.lit("2024-01-02").cast("date"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(tables.hint("rebalance", F.col("as_of")))
+
+
+def test_one_run_reads_one_snapshot(spark, tmp_path):
+    folder = str(tmp_path / "forecast")
+    by_month = fx.fx_dsx_snapshots(spark, SF_DIR).hint("rebalance", F.col("snapshot_date"))
+    by_month.write.partitionBy("snapshot_date").parquet(folder)
+    run = spark.sql("select date '2000-03-06' as as_of")
+    bom = fx.fx_bom(spark, SF_DIR).withColumn("as_of", F.lit("2000-03-06").cast("date"))
+    demand = plans.weekly.weekly_bom_demand(bom, spark.read.parquet(folder), run)
+    text = final_plan(demand)
+    assert re.search(r"PartitionFilters: \[.*snapshot_date.* >= 2000-02-01.* <= 2000-02-01", text)
+    assert demand.filter("fcst_m01 > 0").count() > 0
