@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from matflow.llm import bpe
 from matflow.llm.language_id import identify_languages
+from matflow.llm.near_duplicates import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +24,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY_FILE))
+    return bpe.tokenize_digests(_table(spark, sf_dir, "documents"), vocabulary)
