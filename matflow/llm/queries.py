@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from matflow.llm import bpe
 from matflow.llm.language_id import identify_languages
 from matflow.llm.near_duplicates import near_duplicates
+from matflow.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
