@@ -270,6 +270,11 @@ def _arrow(function, kind: str):
     return F.arrow_udf(function, kind)
 
 
+def _id_lists(found: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in found])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Column:
     """array<int> of the ids of each text; a missing or empty text has none."""
     shared = _shared(docs.sparkSession, vocabulary)
@@ -277,9 +282,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Colum
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(Vocabulary(*shared.value))
         for column in columns:
-            found = list(encoder.encode(text_bytes(column)))
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
-            yield pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
+            yield _id_lists(list(encoder.encode(text_bytes(column))))
 
     return _arrow(ids, "array<int>")(F.col(text))
 
@@ -296,26 +299,28 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Column:
     return _arrow(texts, "binary")(F.col(ids))
 
 
-def tokenize_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, its ids decoded again.
+def tokenize(docs: DataFrame, vocabulary: Vocabulary, carry: list[str], text: str = "text") -> DataFrame:
+    """(carry, n_tokens, ids_sha256, decoded_sha256, ids) of every document; the ids are decoded again.
 
-    A missing text counts as an empty one, which has no ids. Bytes that are no UTF-8 count as U+FFFD.
+    The digests are of the ids as little-endian 32-bit integers and of the bytes they stand for. A missing text
+    counts as an empty one, which has no ids. Bytes that are no UTF-8 count as U+FFFD.
     """
     shared = _shared(docs.sparkSession, vocabulary)
 
     def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(Vocabulary(*shared.value))
         for column in columns:
-            sizes, ids_hex, text_hex = [], [], []
+            found, ids_hex, text_hex = [], [], []
             for ids in encoder.encode(text_bytes(column)):
-                sizes.append(len(ids) // 4)
+                found.append(ids)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())
                 text_hex.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
+            sizes = np.array([len(ids) // 4 for ids in found], np.int64)
             yield pa.StructArray.from_arrays(
-                [pa.array(sizes, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
+                [pa.array(sizes), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string()), _id_lists(found)],
+                ["n_tokens", "ids_sha256", "decoded_sha256", "ids"],
             )
 
-    found = _arrow(digests, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")(F.col("text"))
-    rows = docs.select("doc_id", found.alias("__found"))
-    return rows.select("doc_id", "__found.n_tokens", "__found.ids_sha256", "__found.decoded_sha256")
+    kind = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>"
+    rows = docs.select(F.struct(*carry).alias("carried"), _arrow(digests, kind)(F.col(text)).alias("found"))
+    return rows.select("carried.*", "found.*")

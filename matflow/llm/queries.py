@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matflow.llm import bpe
+from matflow.llm.decontamination import contamination
 from matflow.llm.language_id import identify_languages
 from matflow.llm.near_duplicates import near_duplicates
 from matflow.llm.substring_dedup import remove_repeats
@@ -28,6 +29,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
@@ -46,4 +52,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY_FILE))
-    return bpe.tokenize_digests(_table(spark, sf_dir, "documents"), vocabulary)
+    return bpe.tokenize(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"]).drop("ids")
