@@ -1,3 +1,115 @@
 """The result of a query as DuckDB SQL, where SQL can express it."""
 
+from __future__ import annotations
+
 ORACLES: dict[str, str] = {}
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _rest(url: str) -> str:
+    return f"coalesce(case when instr({url}, '://') > 0 then substr({url}, instr({url}, '://') + 3) end, '')"
+
+
+def _address(url: str) -> str:
+    host = f"translate(regexp_extract({_rest(url)}, '^[^/?#]*'), {_AZ})"
+    return f"case when {host} <> '' then {host} || regexp_extract({_rest(url)}, '^[^/?#]*([^#]*)', 1) end"
+
+
+ORACLES["op2_url_filter"] = rf"""
+with recursive rules(host, path, rule, verdict) as (
+  values ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+         ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
+rows as (
+  select row_number() over () as row_no, page_id, html, url, {_rest("url")} as rest, {_address("url")} as address from pages),
+split as (
+  select *, translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}) as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from rows),
+targets as (
+  select url, address, regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as target
+  from (select url, address, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) as tag from rows)
+  where regexp_matches(tag, '(?i)\brel\s*=\s*["'']?canonical\b')
+  union all
+  select url, address, regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
+  from (select url, address, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')) as tag from rows)
+  where regexp_matches(tag, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+whole as (
+  select address as a, case when target like '//%' then 'http:' || target
+    when target like '/%' then 'http://' || split_part(address, '/', 1) || target else target end as b from targets),
+edges as (select a, b from (select a, {_address("b")} as b from whole) where a is not null and b is not null and a <> b),
+both_ways as (select a, b from edges union select b, a from edges),
+reached(node, other) as (
+  select a, a from both_ways union select r.node, e.b from reached r join both_ways e on e.a = r.other),
+places as (
+  select host, path, null as address, row_no from split
+  union all
+  select split_part(node, '/', 1), regexp_extract(node, '^[^/?#]*([^?#]*)', 1), node, null
+  from (select distinct node from reached)),
+judged as (
+  select p.address, p.row_no, r.rule, r.verdict,
+         row_number() over (partition by p.address, p.row_no
+                            order by length(r.rule) desc, r.verdict = 'allow' desc, r.rule desc) as best
+  from places p join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)),
+own as (select row_no, rule, verdict from judged where best = 1 and row_no is not null),
+shared as (
+  select c.node, case when bool_or(j.verdict = 'allow') then 'allow' when bool_or(j.verdict = 'block') then 'block' end as verdict
+  from reached c join judged j on j.address = c.other and j.best = 1 group by c.node)
+select s.page_id, s.host, s.path, o.rule, coalesce(o.verdict, h.verdict, 'allow') as verdict,
+       o.verdict is null and h.verdict is not null as by_alias
+from split s left join own o using (row_no) left join shared h on h.node = s.address
+"""
+
+
+def _choice(count: int, name: str) -> str:
+    """The shard among ``count`` of every key, level by level."""
+    return f"""
+{name}_tree as (
+  select i as number, i // 10 as region, i % 10 // 2 as rack from range({count}) t(i)),
+{name}_levels as (
+  select '' as path, region as child, count(*)::double as weight from {name}_tree group by region
+  union all select region::varchar, rack, count(*) from {name}_tree group by region, rack
+  union all select region || '.' || rack, number, count(*) from {name}_tree group by region, rack, number),
+{name}_region as (
+  select key, arg_min(child, -ln({_draw("key", "path || '.' || child")}) / weight)::varchar as path
+  from keys, {name}_levels where path = '' group by key),
+{name}_rack as (
+  select r.key, r.path || '.' || arg_min(l.child, -ln({_draw("r.key", "l.path || '.' || l.child")}) / weight) as path
+  from {name}_region r join {name}_levels l on l.path = r.path group by r.key, r.path),
+{name}_of as (
+  select r.key, arg_min(l.child, -ln({_draw("r.key", "l.path || '.' || l.child")}) / weight)::int as {name}
+  from {name}_rack r join {name}_levels l on l.path = r.path group by r.key)"""
+
+
+def _draw(key: str, path: str) -> str:
+    return f"((('0x' || substr(md5({key} || '/' || {path}), 1, 13))::bigint + 0.5) / 4503599627370496.0::double)"
+
+
+_CRC_STEP = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+
+
+def _crc_table() -> str:
+    steps = "i::bigint"
+    for _ in range(8):
+        steps = f"(select {_CRC_STEP} from (select {steps} as c))"
+    return f"(select list({steps} order by i) from range(256) t(i))"
+
+
+ORACLES["op3_sharding"] = f"""
+with rows as (select row_number() over () as row_no, doc_id, coalesce(doc_id::varchar, 'null') as key, text from documents),
+keys as (select distinct key from rows),
+crc as (select {_crc_table()} as entry),
+sums as (
+  select row_no, coalesce(xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::bigint)),
+    lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295::bigint), 0)::bigint as text_crc32
+  from rows, crc),
+{_choice(40, "shard")},
+{_choice(41, "grown_shard")},
+placed as (
+  select r.doc_id, (coalesce(octet_length(encode(r.text)), 0) + 16)::bigint as size, s.text_crc32, r.key,
+         a.shard, g.grown_shard, floor({_draw("r.key", "'slot'")} * 4096) as part
+  from rows r join sums s using (row_no) join shard_of a using (key) join grown_shard_of g using (key))
+select doc_id, size, text_crc32, 'key' as law, shard,
+       row_number() over (partition by shard order by part, doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard
+from placed
+"""

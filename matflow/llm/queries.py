@@ -11,7 +11,9 @@ from matflow.llm import bpe
 from matflow.llm.decontamination import contamination
 from matflow.llm.language_id import identify_languages
 from matflow.llm.near_duplicates import near_duplicates
+from matflow.llm.sharding import shard_documents
 from matflow.llm.substring_dedup import remove_repeats
+from matflow.llm.url_filter import ALLOW, BLOCK, Rule, judge_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,9 +28,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RULES = (
+    Rule(BLOCK, "net", "/"),
+    Rule(ALLOW, "example.net", "/en/"),
+    Rule(BLOCK, "example.com", "/de/"),
+    Rule(ALLOW, "org", "/fr/"),
+)
+SHARDS = 40
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_pages(_table(spark, sf_dir, "pages"), RULES)
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row_key")
