@@ -11,6 +11,7 @@ from matflow.llm import bpe
 from matflow.llm.decontamination import contamination
 from matflow.llm.language_id import identify_languages
 from matflow.llm.near_duplicates import near_duplicates
+from matflow.llm.quality_rules import apply_rules
 from matflow.llm.sharding import shard_documents
 from matflow.llm.substring_dedup import remove_repeats
 from matflow.llm.url_filter import ALLOW, BLOCK, Rule, judge_pages
@@ -48,6 +49,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row_key")
