@@ -11,6 +11,7 @@ from matflow.llm import bpe
 from matflow.llm.decontamination import contamination
 from matflow.llm.language_id import identify_languages
 from matflow.llm.near_duplicates import near_duplicates
+from matflow.llm.quality_classifier import classify
 from matflow.llm.quality_rules import apply_rules
 from matflow.llm.sharding import shard_documents
 from matflow.llm.substring_dedup import remove_repeats
@@ -69,6 +70,11 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
