@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import Block, Words, chain, mix, runs, slices, text_bytes
+from matflow.llm.blocks import Block, Words, runs, slices, text_bytes
 
 #: Hashed terms of a text: trigrams of character shapes, words, and marks of repetition.
 SHAPE_TERMS, WORD_TERMS = 1 << 12, 1 << 13
@@ -44,25 +44,29 @@ def term_counts(texts: list[bytes], shapes: np.ndarray) -> tuple[np.ndarray, np.
     triple = (shape[:-2] * np.uint32(0x9E3779B1) + shape[1:-1]) * np.uint32(0x85EBCA77) + shape[2:]
     shape_term = ((triple ^ (triple >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - 12)
     ends = np.append(block.start[1:], len(block.data))
-    at = np.arange(len(shape_term))
-    text = np.repeat(np.arange(block.count), ends - block.start)[: len(at)]
-    inside = at + 2 < ends[text] - 1
+    by_shape = np.zeros((block.count, SHAPE_TERMS), np.int64)
+    for text, (low, high) in enumerate(zip(block.start.tolist(), (ends - 3).tolist())):
+        if high > low:
+            by_shape[text] = np.bincount(shape_term[low:high], minlength=SHAPE_TERMS)
+    shape_text, shape_found = np.nonzero(by_shape)
+
     words = Words(block)
     hashes = words.hashes()
-    word_term = SHAPE_TERMS + (hashes & np.uint64(WORD_TERMS - 1)).astype(np.int64)
-    same = np.flatnonzero((words.text[1:] == words.text[:-1]) & (hashes[1:] == hashes[:-1])) + 1
-    in_text = chain(hashes, words.text.astype(np.uint64))
-    order = np.argsort(in_text, kind="stable")
-    again = np.ones(len(order), bool)
-    again[runs(in_text[order])] = False
-    seen = order[again]
-    all_texts = np.concatenate([text[inside], words.text, words.text[same], words.text[seen]])
-    all_terms = np.concatenate(
-        [shape_term[inside].astype(np.int64), word_term, np.full(len(same), TERMS - 2), np.full(len(seen), TERMS - 1)]
-    )
-    keys = np.sort(all_texts * TERMS + all_terms)
+    word_term = (hashes & np.uint64(WORD_TERMS - 1)).astype(np.int64)
+    adjacent = np.flatnonzero((words.text[1:] == words.text[:-1]) & (hashes[1:] == hashes[:-1])) + 1
+    keys = np.sort(words.text * WORD_TERMS + word_term)
     first = runs(keys)
-    return keys[first] // TERMS, keys[first] % TERMS, np.diff(np.append(first, len(keys)))
+    number = np.diff(np.append(first, len(keys)))
+    # Words beyond the first of their bucket count as repeated.
+    repeats = np.bincount(words.text[adjacent], minlength=block.count), np.bincount(keys[first] // WORD_TERMS, number - 1, block.count)
+    parts = [(shape_text, shape_found, by_shape[shape_text, shape_found])]
+    parts.append((keys[first] // WORD_TERMS, SHAPE_TERMS + keys[first] % WORD_TERMS, number))
+    for at, count in enumerate(repeats):
+        some = np.flatnonzero(count)
+        parts.append((some, np.full(len(some), TERMS - REPEAT_TERMS + at), count[some].astype(np.int64)))
+    text, term, count = (np.concatenate(column) for column in zip(*parts))
+    order = np.argsort(text, kind="stable")
+    return text[order], term[order], count[order]
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,32 +145,31 @@ def held_out(id_column: str = "doc_id", folds: int = 5, fold: int = 0) -> Column
 
 def _latent_axes(text: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
     """The leading right singular vectors (terms x dimensions) of the examples' weights, by subspace iteration."""
-    by_term = np.argsort(term, kind="stable")
-    first_text, first_term = runs(text), runs(term[by_term])
+
+    def blocks() -> Iterator[tuple[slice, np.ndarray]]:
+        for low in range(0, rows, 256):
+            high = min(low + 256, rows)
+            part = slice(*np.searchsorted(text, [low, high]))
+            dense = np.zeros((high - low, TERMS), np.float32)
+            dense[text[part] - low, term[part]] = weight[part]
+            yield slice(low, high), dense
 
     def times(right: np.ndarray) -> np.ndarray:
-        out = np.zeros((rows, right.shape[1]))
-        bounds = np.append(first_text, len(text))
-        for low in range(0, len(first_text), 128):
-            part = slice(bounds[low], bounds[min(low + 128, len(first_text))])
-            out[text[first_text[low : low + 128]]] = np.add.reduceat(
-                right[term[part]] * weight[part, None], first_text[low : low + 128] - bounds[low], axis=0
-            )
-        return out
+        return np.concatenate([dense @ right for _, dense in blocks()])
 
     def transposed_times(left: np.ndarray) -> np.ndarray:
-        out = np.zeros((TERMS, left.shape[1]))
-        for column in range(left.shape[1]):
-            values = weight[by_term] * left[text[by_term], column]
-            out[term[by_term][first_term], column] = np.add.reduceat(values, first_term)
-        return out
+        return sum(dense.T @ left[at] for at, dense in blocks())
 
     size = min(DIMENSIONS + 16, rows)
-    left = np.linalg.qr(times(np.random.default_rng(0).standard_normal((TERMS, size))))[0]
+    start = np.random.default_rng(0).standard_normal((TERMS, size)).astype(np.float32)
+    left = np.linalg.qr(times(start))[0]
     for _ in range(3):
         left = np.linalg.qr(times(transposed_times(left)))[0]
-    axes, _, _ = np.linalg.svd(transposed_times(left), full_matrices=False)
-    return axes[:, :DIMENSIONS].astype(np.float32)
+    reduced = transposed_times(left).astype(np.float64)
+    values, turn = np.linalg.eigh(reduced.T @ reduced)
+    largest = np.argsort(-values)[:DIMENSIONS]
+    largest = largest[values[largest] > 1e-9 * values.max()]
+    return (reduced @ turn[:, largest] / np.sqrt(values[largest])).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", examples: int = EXAMPLES) -> NeighbourModel:
