@@ -19,19 +19,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     are ever gathered.
     """
     edges = cut(_pointing_down(edges.select("a", "b")))
-    state = None
     for _ in range(MOST_ROUNDS):
-        edges = cut(_small_star(_large_star(edges)))
-        latest = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if latest == state:
+        if _settled(edges):
             break
-        state = latest
+        edges = cut(_small_star(_large_star(edges)))
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points to one other and no node that is pointed to points on."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    degrees = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return degrees.filter(F.col("out") + F.col("in") > 1).isEmpty()
+
+
 def _pointing_down(edges: DataFrame) -> DataFrame:
     """Distinct edges from the larger node to the smaller one."""
     ordered = edges.filter(F.col("a") != F.col("b"))
@@ -43,7 +48,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     larger = edges.select(F.col("b").alias("a"), F.col("a").alias("v"))
-    return _pointing_down(larger.join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b")))
+    # Repeated edges are left to the next step.
+    return larger.join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
