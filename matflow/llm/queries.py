@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from matflow.llm import bpe
 from matflow.llm.decontamination import contamination
 from matflow.llm.language_id import identify_languages
+from matflow.llm.license_scan import license_report
+from matflow.llm.license_texts import TEMPLATES
 from matflow.llm.near_duplicates import near_duplicates
 from matflow.llm.quality_classifier import classify
 from matflow.llm.quality_rules import apply_rules
@@ -40,6 +42,11 @@ SHARDS = 40
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(_table(spark, sf_dir, "documents"), TEMPLATES)
+
+
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(_table(spark, sf_dir, "pages"), RULES)
