@@ -6,6 +6,7 @@ All of it is metadata work on the plan; only ``infer_types`` reads data, and onl
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,9 +22,12 @@ def project_drop(df: DataFrame, keep: Sequence[str] | None = None, drop: Sequenc
     return kept.drop(*drop)
 
 
-def project_positional(df: DataFrame, first: int, last: int) -> DataFrame:
-    """Columns number ``first`` to ``last``, counted from 1; a wider range than the table is cut."""
-    return df.select(*df.columns[first - 1 : last])
+def project_positional(df: DataFrame, positions: Iterable[int]) -> DataFrame:
+    """Columns by their number, counted from 1, in the given order; a number that is no column is an error."""
+    wanted = list(positions)
+    if wrong := [at for at in wanted if not 1 <= at <= len(df.columns)]:
+        raise ValueError(f"the table has {len(df.columns)} columns, so none with the numbers {wrong}")
+    return df.select(*(F.col(f"`{df.columns[at - 1]}`") for at in wanted))
 
 
 def rename_cols(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -44,19 +48,26 @@ def ordinal_rename(df: DataFrame, first: int, prefix: str) -> DataFrame:
 
 
 def clean_name_list(names: Iterable[str | None]) -> list[str]:
-    """snake_case names; a missing name becomes 'na', an empty one 'x', repeats get _2, _3, ..."""
+    """snake_case names; a missing name becomes 'na', an empty one 'x', repeats get the next free of _2, _3, ...
+
+    Letters with accents become plain ones.
+    """
     seen: dict[str, int] = {}
-    cleaned = []
+    cleaned: list[str] = []
     for raw in names:
         name = "NA" if raw is None else raw
+        name = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
         name = re.sub("['\"]", "", name).replace("%", "_percent_").replace("#", "_number_")
         name = re.sub("[^0-9A-Za-z]+", "_", name).strip("_")
         name = re.sub("([a-z0-9])([A-Z])", r"\1_\2", name)
         name = re.sub("([A-Z]+)([A-Z][a-z])", r"\1_\2", name).lower()
         if not name or name[0].isdigit():
             name = "x" + name
-        seen[name] = seen.get(name, 0) + 1
-        cleaned.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+        free = name
+        while free in cleaned:
+            seen[name] = seen.get(name, 1) + 1
+            free = f"{name}_{seen[name]}"
+        cleaned.append(free)
     return cleaned
 
 

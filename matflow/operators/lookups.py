@@ -115,5 +115,5 @@ def label_items(exceptions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def semi_join_labels(lots: DataFrame, labels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Keep the lots whose (numeric) item is a label."""
-    return lookup_join(lots, broadcast_if_small(labels), [*by, "item"], how="left_semi")
+    """Keep the lots whose (numeric) item is a label; adaptive execution picks the join from the real size."""
+    return lookup_join(lots, labels, [*by, "item"], how="left_semi")

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from matflow.functions.casts import tolerant_double
 from matflow.functions.nulls import null_propagating_max, null_to_zero
-from matflow.operators.grouping import group_sum_strict
-from matflow.operators.lookups import broadcast_if_small, lookup_join
+from matflow.operators.lookups import lookup_join
 
 SKIP_MONTHS = 2
 HORIZON = 12
@@ -28,12 +27,18 @@ def month_positions(
 ) -> DataFrame:
     """(by, month, month_no): the distinct months in ascending order without the first ``skip``.
 
-    Gives at most ``take`` rows per ``by`` group, and the rank limit is applied before the shuffle.
+    Gives at most ``skip`` + ``take`` rows per ``by`` group; those of the skipped months have a month_no of 0 or
+    less. Without groups, fewer months than that are an error when the query runs.
     """
     in_order = Window.partitionBy(*by).orderBy(F.col(month).asc_nulls_last())
     ranked = df.select(*by, month).distinct().withColumn("__rank", F.row_number().over(in_order))
-    chosen = ranked.filter((F.col("__rank") <= skip + take) & (F.col("__rank") > skip))
-    return chosen.select(*by, month, (F.col("__rank") - skip).alias("month_no"))
+    chosen = ranked.filter(F.col("__rank") <= skip + take)
+    number = F.col("__rank") - skip
+    if not by:
+        found = F.count(F.lit(1)).over(Window.partitionBy())
+        message = F.concat(F.lit(f"the snapshot needs {skip + take} months and has "), found.cast("string"))
+        number = F.when(found == skip + take, number).otherwise(F.raise_error(message).cast("int"))
+    return chosen.select(*by, month, number.alias("month_no"))
 
 
 def pivot_months(
@@ -44,19 +49,19 @@ def pivot_months(
     by: Sequence[str] = (),
     skip: int = SKIP_MONTHS,
     take: int = HORIZON,
-    few_groups: bool = False,
 ) -> DataFrame:
     """One row per key with the ``take`` months after the first ``skip`` as fcst_m01, fcst_m02, ...
 
     A month of a key is 0 when it has no rows or when any of its rows has no quantity. All months are
-    conditional aggregates of one groupBy, so there is a single shuffle on the key.
+    conditional aggregates of one groupBy, so there is a single shuffle on the key. A snapshot of fewer than
+    ``skip`` + ``take`` months is an error; with ``by`` groups the caller leaves such groups out.
 
-    The month positions, at most ``take`` rows per ``by`` group, are broadcast if there are no groups
-    or the caller has found them to be few; otherwise they are measured first.
+    The month positions, at most ``skip`` + ``take`` rows, are broadcast if there are no groups; otherwise
+    adaptive execution picks the join from their real size.
     """
     positions = month_positions(df, month, by, skip, take)
-    bounded = few_groups or not by
-    positions = F.broadcast(positions) if bounded else broadcast_if_small(positions)
+    if not by:
+        positions = F.broadcast(positions)
     placed = lookup_join(df.select(*by, key, month, qty), positions, [*by, month])
     # A missing quantity counts as NaN, which stays NaN in any sum: one aggregate per month is enough.
     marked = placed.withColumn("__qty", F.coalesce(qty, F.lit(float("nan"))))
@@ -81,9 +86,11 @@ def pivot_all_months(df: DataFrame, key: str, month: str, qty: str) -> DataFrame
     months = [row[0] for row in named.select(month).distinct().orderBy(month).take(limit + 1)]
     if len(months) > limit:
         raise ValueError(f"more than {limit} distinct values in {month}")
-    cells = group_sum_strict(named, [key, month], qty, "__qty")
-    wide = cells.groupBy(key).pivot(month, months).agg(F.first("__qty"))
-    return wide.select(key, *(null_to_zero(F.col(f"`{m}`")).alias(m) for m in months))
+    # As in pivot_months, a missing quantity counts as NaN, so one sum a month and one shuffle are enough.
+    marked = named.withColumn("__qty", F.coalesce(qty, F.lit(float("nan"))))
+    sums = [F.sum(F.when(F.col(month) == m, F.col("__qty"))).alias(f"__{n}") for n, m in enumerate(months)]
+    wide = marked.groupBy(key).agg(*sums)
+    return wide.select(key, *(F.nanvl(null_to_zero(f"__{n}"), F.lit(0.0)).alias(m) for n, m in enumerate(months)))
 
 
 def unpivot_hold_status(

@@ -31,16 +31,19 @@ def forecast_lag1(
     by: Sequence[str] = (),
     skip: int = SKIP_MONTHS,
     take: int = HORIZON,
-    few_groups: bool = False,
+    keep_raw: bool = False,
 ) -> DataFrame:
     """One row per mfg_ref with fcst_m01..m12: the months of the snapshot after the first two.
 
     Months are placed by their calendar order over the whole snapshot. Rows are grouped by the key
     with '_' and only then get their '-', as two different keys may become the same text.
-    ``few_groups`` is that of ``pivot_months``.
+    ``keep_raw`` adds the key with '_' as raw_ref. A snapshot of fewer than ``skip`` + ``take`` months is an error;
+    with ``by`` columns the caller leaves such snapshots out (``complete_months``).
     """
     cases = forecast_cases(forecast, by)
-    wide = pivot_months(cases, "mfg_ref", MONTH, CASES, by, skip, take, few_groups)
+    wide = pivot_months(cases, "mfg_ref", MONTH, CASES, by, skip, take)
+    if keep_raw:
+        wide = wide.withColumn("raw_ref", F.col("mfg_ref"))
     return wide.withColumn("mfg_ref", replace_char("mfg_ref"))
 
 
@@ -50,9 +53,20 @@ def forecast_wide_all(forecast: DataFrame) -> DataFrame:
     return wide.withColumn("mfg_ref", replace_char("mfg_ref"))
 
 
-def poisoned_groups(forecast: DataFrame) -> DataFrame:
+def snapshot_months(forecast: DataFrame) -> DataFrame:
+    """(snapshot_date, months_found): how many different months each snapshot has."""
+    months = forecast.select("snapshot_date", MONTH).distinct()
+    return months.groupBy("snapshot_date").agg(F.count(F.lit(1)).cast("int").alias("months_found"))
+
+
+def complete_months(skip: int = SKIP_MONTHS, take: int = HORIZON) -> int:
+    """The months a snapshot needs."""
+    return skip + take
+
+
+def poisoned_groups(forecast: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Key and month pairs that count as 0 because some of their rows have no quantity."""
-    groups = forecast_cases(forecast).groupBy("mfg_ref", MONTH).agg(
+    groups = forecast_cases(forecast, by).groupBy(*by, "mfg_ref", MONTH).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CASES).isNull()).alias("bad_rows")
     )
     return groups.filter(F.col("bad_rows") > 0)

@@ -6,13 +6,13 @@ from dataclasses import dataclass, fields, replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matflow.operators.lookups import lookup_join
 from matflow.plans.bom import bom_demand
 from matflow.plans.exceptions import exception_enriched
-from matflow.plans.forecast import forecast_lag1
+from matflow.plans.forecast import complete_months, forecast_lag1, poisoned_groups, snapshot_months
 from matflow.plans.inventory import fg_inventory_lot, rm_inventory
 from matflow.plans.orders import open_po, receipts
 from matflow.sources.grid import named_sheet
@@ -21,8 +21,8 @@ from matflow.sources.snapshots import select_snapshot
 
 RUN = ("as_of",)
 
-# Run dates up to which their snapshots, and the twelve months of each, are broadcast (some 12 MB).
-FEW_RUNS = 10_000
+# Run dates of one job at most (some 190 years of weeks); their snapshots are listed on the driver.
+MOST_RUNS = 10_000
 
 # Quantity column that the run summary adds up, by table.
 QUANTITY = {
@@ -34,10 +34,6 @@ QUANTITY = {
     "fg_inventory": "inventory_qty_cases",
 }
 
-# Tables that come out of a groupBy, whose partitions mix run dates.
-GROUPED = ("rm_inventory", "fg_inventory")
-
-
 @dataclass(frozen=True)
 class WeeklyInputs:
     """Inputs of many runs: all carry ``as_of``, the forecast ``snapshot_date``, campus neither.
@@ -65,51 +61,90 @@ class WeeklyInputs:
         return replace(self, **dated)
 
 
-def weekly_bom_demand(bom: DataFrame, forecast: DataFrame, runs: DataFrame) -> DataFrame:
+def forecasts_in_reach(forecast: DataFrame, runs: DataFrame) -> DataFrame:
+    """The snapshots that any run can use: a static range of dates, which prunes stored partitions."""
+    first, last = runs.agg(F.min("as_of"), F.max("as_of")).first()
+    if first is None:
+        return forecast.limit(0)
+    low, high = (F.trunc(F.add_months(F.lit(day).cast("date"), -1), "MM") for day in (first, last))
+    # Folded to dates here, so that the scan gets plain bounds.
+    low, end = runs.sparkSession.range(1).select(low, F.add_months(high, 1)).first()
+    day = F.col("snapshot_date")
+    return forecast.filter((day >= F.lit(low)) & (day < F.lit(end)))
+
+
+def choose_snapshots(runs: DataFrame, forecast: DataFrame) -> DataFrame:
+    """(as_of, snapshot_date, months_found) of every run date, as a small table that is computed once.
+
+    ``snapshot_date`` is the lag-1 snapshot or NULL, ``months_found`` how many months it has.
+    """
+    months = snapshot_months(forecast)
+    chosen = select_snapshot(runs, months).join(months, "snapshot_date", "left")
+    rows = chosen.select("as_of", "snapshot_date", "months_found").take(MOST_RUNS + 1)
+    if len(rows) > MOST_RUNS:
+        raise ValueError(f"more than {MOST_RUNS} run dates; split the job")
+    schema = "as_of date, snapshot_date date, months_found int"
+    return runs.sparkSession.createDataFrame([tuple(row) for row in rows], schema)
+
+
+def _complete(months_found: str = "months_found") -> Column:
+    return F.coalesce(F.col(months_found) >= complete_months(), F.lit(False))
+
+
+def forecast_gaps(chosen: DataFrame) -> DataFrame:
+    """Run dates without a complete lag-1 snapshot; their demand is published without a forecast."""
+    return chosen.filter(~_complete()).select("as_of", "snapshot_date", F.coalesce("months_found", F.lit(0)).alias("months_found"))
+
+
+def weekly_bom_demand(
+    bom: DataFrame, forecast: DataFrame, runs: DataFrame, chosen: DataFrame | None = None
+) -> DataFrame:
     """Material demand of every run with its own lag-1 snapshot.
 
-    A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run.
-    The dates of the first and last snapshot in use limit what is read of the forecast.
+    A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run. Runs whose
+    snapshot is missing or has too few months have no forecast (NULL) and are listed by ``forecast_gaps``.
     """
-    chosen = select_snapshot(runs, forecast.select("snapshot_date"))
-    day = F.col("snapshot_date")
-    count, first, last = chosen.agg(F.count(F.lit(1)), F.min(day), F.max(day)).first()
-    # The snapshots in use are no more than the runs, and their months no more than HORIZON each.
-    few = count <= FEW_RUNS
-    used = chosen.select("snapshot_date").distinct()
-    if few:
-        chosen, used = F.broadcast(chosen), F.broadcast(used)
-    between = day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    in_use = forecast.filter(between).join(used, "snapshot_date", "left_semi")
-    lag1 = forecast_lag1(in_use, by=["snapshot_date"], few_groups=few)
-    dated = lookup_join(bom, chosen, RUN, null_safe=False)
-    return bom_demand(dated, lag1, by=["snapshot_date"], width=len(dated.columns))
+    reach = forecasts_in_reach(forecast, runs)
+    chosen = choose_snapshots(runs, reach) if chosen is None else chosen
+    used = chosen.filter(_complete()).select("snapshot_date").distinct()
+    in_use = reach.join(F.broadcast(used), "snapshot_date", "left_semi")
+    lag1 = forecast_lag1(in_use, by=["snapshot_date"])
+    # At most MOST_RUNS rows.
+    dated = lookup_join(bom, F.broadcast(chosen), RUN, null_safe=False)
+    keys = ["as_of", "snapshot_date", "months_found"]
+    return bom_demand(dated, lag1, by=["snapshot_date"], keys=keys, known=_complete()).drop("months_found")
 
 
 def weekly_tables(inputs: WeeklyInputs) -> dict[str, DataFrame]:
-    """Every published table, for every run date of the inputs."""
+    """Every published table, for every run date of the inputs; the last two tell what the others lack."""
     rm, fg = named_sheet(inputs.lots, "RM"), named_sheet(inputs.lots, "FG")
+    reach = forecasts_in_reach(inputs.forecast, inputs.runs)
+    chosen = choose_snapshots(inputs.runs, reach)
+    used = F.broadcast(chosen.filter(_complete()).select("as_of", "snapshot_date"))
     return {
         "po": open_po(inputs.po, inputs.campus, by=RUN),
         "receipt": receipts(inputs.receipt, inputs.campus, by=RUN),
-        "bom": weekly_bom_demand(inputs.bom, inputs.forecast, inputs.runs),
+        "bom": weekly_bom_demand(inputs.bom, inputs.forecast, inputs.runs, chosen),
         "exception_report": exception_enriched(inputs.exception_report, inputs.campus),
         "rm_inventory": rm_inventory(rm, inputs.erp_lots, inputs.exception_report, by=RUN),
         "fg_inventory": fg_inventory_lot(fg, by=RUN),
+        "forecast_gaps": forecast_gaps(chosen),
+        "poisoned_forecast": poisoned_groups(reach, by=["snapshot_date"]).join(used, "snapshot_date"),
     }
 
 
 def publish_weekly(inputs: WeeklyInputs, root: str) -> None:
-    """Write all tables; run dates that are not in the inputs keep what they had."""
-    publish_tables(weekly_tables(inputs), root, cluster=GROUPED)
+    """Write all tables. The run dates of the inputs are replaced, also where they have no rows; others stay."""
+    days = [row["as_of"] for row in inputs.runs.select("as_of").distinct().take(MOST_RUNS + 1)]
+    publish_tables(weekly_tables(inputs), root, run_dates=days)
 
 
 def weekly_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """(as_of, table, rows, total) of every table and run date."""
     parts = [
-        df.groupBy("as_of")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(QUANTITY[name]).alias("total"))
+        tables[name].groupBy("as_of")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(quantity).alias("total"))
         .select("as_of", F.lit(name).alias("table"), "rows", "total")
-        for name, df in tables.items()
+        for name, quantity in QUANTITY.items()
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -1,4 +1,4 @@
-from matflow.sources.grid import drop_leading_rows, named_sheet, promote_header
+from matflow.sources.grid import drop_leading_rows, named_sheet, promote_header, promote_header_per_run
 from matflow.sources.published import publish, publish_tables, read_published, read_tables
 from matflow.sources.records import as_of_from_path, read_numbered_lines, read_record_lines
 from matflow.sources.schemas import SOURCES, TABLES, enforce
@@ -12,6 +12,7 @@ __all__ = [
     "enforce",
     "named_sheet",
     "promote_header",
+    "promote_header_per_run",
     "publish",
     "publish_tables",
     "read_numbered_lines",

@@ -5,9 +5,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matflow.operators.frames import clean_name_list
@@ -18,32 +16,42 @@ def drop_leading_rows(grid: DataFrame, count: int) -> DataFrame:
 
 
 def named_sheet(grid: DataFrame, sheet: str) -> DataFrame:
-    """Rows of one sheet; prunes files where the grid is stored partitioned by ``sheet``."""
-    return grid.filter(F.col("sheet") == sheet)
+    """Rows of one sheet, without the sheet's name; prunes files where the grid is stored partitioned by ``sheet``."""
+    return grid.filter(F.col("sheet") == sheet).drop("sheet")
 
 
-def promote_header(grid: DataFrame, header_row: int, run: str | None = None) -> DataFrame:
+def promote_header(grid: DataFrame, header_row: int) -> DataFrame:
     """Use row ``header_row`` as (cleaned) column names and keep the rows after it.
 
-    Only header rows reach the driver: one, or with ``run`` one per run date. Runs that share a
-    layout are read together; layouts are stacked by name, and a column a layout lacks is NULL.
+    Only the header row reaches the driver. Two different ones, as in a grid of several files, are an error.
+    """
+    cells = [name for name in grid.columns if name != "row_no"]
+    headers = grid.filter(F.col("row_no") == header_row).select(*cells).distinct().take(2)
+    if len(headers) != 1:
+        raise ValueError(f"row {header_row} should hold one header; found {len(headers) or 'none'}")
+    return drop_leading_rows(grid, header_row).select(*cells).toDF(*clean_name_list(headers[0]))
+
+
+def promote_header_per_run(grid: DataFrame, header_rows: DataFrame, run: str = "as_of") -> DataFrame:
+    """As ``promote_header`` for the grids of many runs: ``header_rows`` (run, header_row) says where each one's is.
+
+    All rows are read once, whatever the number of layouts: a run's rows get its header by a join, and every column
+    of the result takes the cell that has its name in that layout. A column a layout lacks is NULL. Runs that are not
+    listed are left out; a run with two different headers, or none, is an error. The driver reads the different
+    layouts only.
     """
-    keys = ["row_no"] if run is None else [run, "row_no"]
-    cells = [name for name in grid.columns if name not in keys]
-    headers = grid.filter(F.col("row_no") == header_row)
-    data = drop_leading_rows(grid, header_row)
-    if run is None:
-        header = headers.select(*cells).first()
-        if header is None:
-            raise ValueError(f"the grid has no row {header_row}")
-        return data.select(*cells).toDF(*clean_name_list(header))
-    layouts: dict[tuple[str, ...], list] = {}
-    for row in headers.select(run, *cells).collect():
-        layouts.setdefault(tuple(clean_name_list(row[1:])), []).append(row[0])
-    parts = [
-        data.filter(F.col(run).isin(runs)).select(run, *cells).toDF(run, *names)
-        for names, runs in layouts.items()
-    ]
-    if not parts:
-        raise ValueError(f"the grid has no row {header_row}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cells = [name for name in grid.columns if name not in (run, "row_no")]
+    placed = grid.join(header_rows.select(run, "header_row"), run)
+    layout = F.array(*(F.coalesce(c, F.lit("NA")) for c in cells))
+    headers = placed.filter(F.col("row_no") == F.col("header_row")).select(run, layout.alias("__layout")).distinct()
+    counts = header_rows.select(run).distinct().join(headers, run, "left").groupBy(run).agg(F.count("__layout").alias("n"))
+    if wrong := [row[run] for row in counts.filter("n <> 1").limit(5).collect()]:
+        raise ValueError(f"these runs don't have one header: {wrong}")
+    layouts = [row["__layout"] for row in headers.select("__layout").distinct().orderBy("__layout").collect()]
+    sources: dict[str, Column] = {}
+    for names in layouts:
+        for cell, name in zip(cells, clean_name_list(names)):
+            here = F.when(F.col("__layout") == F.array(*map(F.lit, names)), F.col(cell))
+            sources[name] = F.coalesce(sources[name], here) if name in sources else here
+    data = placed.filter(F.col("row_no") > F.col("header_row")).join(headers, run)
+    return data.select(run, *(source.alias(name) for name, source in sources.items()))

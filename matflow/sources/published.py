@@ -3,30 +3,53 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _files(spark: SparkSession, folder: str):
+    """The Hadoop file system of a folder, its path, and the names of the files in it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, path, {s.getPath().getName() for s in system.listStatus(path)} if system.exists(path) else set()
+
+
 def publish(
-    df: DataFrame, root: str, table: str, as_of: Column | None = None, cluster: bool = False
+    df: DataFrame,
+    root: str,
+    table: str,
+    as_of: Column | None = None,
+    run_dates: Iterable[date] = (),
+    cluster: bool = True,
 ) -> None:
-    """Write a table, replacing only the run dates that occur in ``df``.
+    """Write a table, replacing the run dates that occur in ``df`` and those listed in ``run_dates``.
 
-    ``as_of`` sets the run date of all rows; without it the table must have that column. ``cluster``
-    brings the rows of a run date together first, for results whose partitions mix many run dates:
-    a rebalance splits a run date that is too large for one task and joins small ones.
+    ``as_of`` sets the run date of all rows; without it the table must have that column. A row without a run date is
+    an error. A listed date without rows loses what it had, once the new rows are written. ``cluster`` brings the rows
+    of a run date together first, so that a date gets few files: a rebalance splits a run date that is too large for
+    one task and joins small ones. Switch it off for inputs that already lie by date.
     """
-    dated = df if as_of is None else df.withColumn("as_of", as_of)
+    spark = df.sparkSession
+    day = F.col("as_of") if as_of is None else as_of
+    missing = F.raise_error(F.lit(f"a row of {table} has no run date")).cast("date")
+    dated = df.withColumn("as_of", F.coalesce(day, missing))
     if cluster:
         dated = dated.hint("rebalance", F.col("as_of"))
+    folders = [f"{root}/{table}/as_of={day.isoformat()}" for day in run_dates]
+    before = {folder: _files(spark, folder)[2] for folder in folders}
     (
         dated.write.partitionBy("as_of")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(f"{root}/{table}")
     )
+    for folder, old in before.items():
+        system, path, now = _files(spark, folder)
+        if now & old:  # a date that was written again has new files only
+            system.delete(path, True)
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -35,11 +58,12 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def publish_tables(
-    tables: Mapping[str, DataFrame], root: str, as_of: Column | None = None, cluster: Iterable[str] = ()
+    tables: Mapping[str, DataFrame], root: str, as_of: Column | None = None, run_dates: Iterable[date] = ()
 ) -> None:
     """Write several named tables under one root."""
+    days = list(run_dates)
     for name, df in tables.items():
-        publish(df, root, name, as_of, cluster=name in cluster)
+        publish(df, root, name, as_of, days)
 
 
 def read_tables(spark: SparkSession, root: str, *tables: str) -> DataFrame:

@@ -5,27 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A run date in a path is a folder mm.dd.yyyy, or a folder mm.dd below a folder yyyy.
-_RUN_FOLDER = r"/(\d{2}\.\d{2}\.\d{4})/"
-_YEAR_AND_DAY_FOLDERS = r"/(\d{4}/\d{2}\.\d{2})/"
+# A run date in a path is the last mm.dd.yyyy or mm.dd.yy (also without leading zeros) of a folder or file name, or
+# else a folder mm.dd below a folder yyyy.
+_FULL_DATE = r"^.*(?<![\d.])(\d{1,2}\.\d{1,2}\.\d{4})(?!\d)"
+_SHORT_DATE = r"^.*(?<![\d.])(\d{1,2}\.\d{1,2}\.\d{2})(?!\d)"
+_YEAR_AND_DAY_FOLDERS = r"/(\d{4}/\d{1,2}\.\d{1,2})/"
 
 
 def as_of_from_path(path: Column | None = None) -> Column:
     """Run date of the file a row was read from; NULL if the path names none."""
     path = F.col("_metadata.file_path") if path is None else path
     return F.coalesce(
-        F.try_to_date(F.regexp_extract(path, _RUN_FOLDER, 1), "MM.dd.yyyy"),
-        F.try_to_date(F.regexp_extract(path, _YEAR_AND_DAY_FOLDERS, 1), "yyyy/MM.dd"),
+        F.try_to_date(F.regexp_extract(path, _FULL_DATE, 1), "M.d.yyyy"),
+        F.try_to_date(F.regexp_extract(path, _SHORT_DATE, 1), "M.d.yy"),
+        F.try_to_date(F.regexp_extract(path, _YEAR_AND_DAY_FOLDERS, 1), "yyyy/M.d"),
     )
 
 
-def read_record_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """(line, as_of) of headerless one-column files; blank lines are skipped."""
-    lines = spark.read.text(list(paths)).filter(F.trim("value") != "")
-    return lines.select(F.col("value").alias("line"), as_of_from_path().alias("as_of"))
+def _run_date(as_of: Column | None) -> Column:
+    return (as_of_from_path() if as_of is None else as_of).alias("as_of")
 
 
-def read_numbered_lines(spark: SparkSession, *paths: str) -> DataFrame:
+def read_record_lines(spark: SparkSession, *paths: str, as_of: Column | None = None) -> DataFrame:
+    """(line, as_of) of headerless files whose first field is the record; blank lines are skipped.
+
+    A field may be quoted, with quotes in it doubled. ``as_of`` is for paths that name no run date.
+    """
+    lines = spark.read.csv(list(paths), schema="line string", escape='"').filter(F.trim("line") != "")
+    return lines.select("line", _run_date(as_of))
+
+
+def read_numbered_lines(spark: SparkSession, *paths: str, as_of: Column | None = None) -> DataFrame:
     """(line, as_of) of the newer export: a row-number column, the record, and a header row to drop."""
-    numbered = spark.read.csv(list(paths), header=True, schema="row_no string, line string")
-    return numbered.select("line", as_of_from_path().alias("as_of"))
+    numbered = spark.read.csv(list(paths), header=True, schema="row_no string, line string", escape='"')
+    return numbered.select("line", _run_date(as_of))

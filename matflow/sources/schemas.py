@@ -76,11 +76,11 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
-def enforce(df: DataFrame, source: str) -> DataFrame:
-    """Declared columns first, as text; unknown columns after them, as text; a missing one is an error."""
+def enforce(df: DataFrame, source: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``keys`` as they are, then declared columns, then unknown ones, all as text; a missing one is an error."""
     declared = SOURCES[source]
     missing = [name for name in declared if name not in df.columns]
     if missing:
         raise ValueError(f"{source} lacks the columns {missing}")
-    extra = [name for name in df.columns if name not in declared]
-    return df.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in (*declared, *extra)))
+    extra = [name for name in df.columns if name not in (*declared, *keys)]
+    return df.select(*keys, *(F.col(f"`{name}`").cast("string").alias(name) for name in (*declared, *extra)))

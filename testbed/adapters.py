@@ -72,9 +72,11 @@ def _with_supplier(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def fx_campus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers in debt have no campus, so some locations find none."""
-    suppliers = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
-    return suppliers.select(text("s_suppkey").alias("location"), text("s_nationkey").alias("campus"))
+    """Suppliers in debt stand under another number, so some locations find none; one location is missing."""
+    supplier = F.col("s_suppkey")
+    moved = F.when(F.col("s_acctbal") < 0, supplier + 90_000_000).otherwise(supplier)
+    location = F.when(supplier != 1, text(moved))
+    return table(spark, sf_dir, "supplier").select(location.alias("location"), text("s_nationkey").alias("campus"))
 
 
 def _record(qty: Column, number: Column) -> Column:
@@ -138,6 +140,10 @@ def fx_dsx_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The bill of materials is wider than what the job uses of it.
+BOM_WIDTH = 43
+
+
 def _bom_columns() -> list[Column]:
     part, size = F.col("p_partkey"), F.col("p_size")
     return [
@@ -145,6 +151,7 @@ def _bom_columns() -> list[Column]:
         part.alias("component"),
         text(size).alias("quantity_w_scrap"),
         F.when(size % 10 != 0, text(size * 3)).alias("next_28_days_open_order"),
+        *(F.concat("p_brand", F.lit(f"-{n}")).alias(f"x{n:02d}") for n in range(5, BOM_WIDTH + 1)),
     ]
 
 
@@ -155,7 +162,7 @@ def fx_bom(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _exception_columns() -> list[Column]:
     part, kind = F.col("p_partkey"), F.col("p_type")
     return [
-        F.when(part % 101 == 0, "OLD").otherwise(text(part % 100)).alias("b_p"),
+        F.when(part % 101 == 0, "OLD").when(part % 103 != 0, text(part % 100)).alias("b_p"),
         text(part).alias("item_number"),
         F.when(kind == "SMALL", "LBL").otherwise(kind).alias("mpf_or_line"),
     ]
@@ -184,8 +191,13 @@ def fx_exception_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parts_by_week(spark, sf_dir).select("as_of", *_exception_columns())
 
 
-def fx_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lot report with an RM and an FG sheet, and its week as ``as_of``."""
+LOT_COLUMNS = (
+    *("location", "campus_no", "item", "description"),
+    *("inventory_hold_status", "current_inventory_balance"),
+)
+
+
+def _lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = _with_supplier(_with_part(_lines(spark, sf_dir), spark, sf_dir), spark, sf_dir)
     size = F.col("p_size")
     prefix = (
@@ -205,9 +217,42 @@ def fx_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
         hold_status().alias("inventory_hold_status"),
         known_qty().alias("current_inventory_balance"),
         week_of("l_shipdate").alias("as_of"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber") + 10).alias("row_no"),
     )
 
 
+def fx_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lot report with an RM and an FG sheet, and its week as ``as_of``."""
+    return _lots(spark, sf_dir).drop("row_no")
+
+
+def _later_layout(as_of: Column) -> Column:
+    """Every other week has its columns in reverse order, below two more title rows."""
+    return F.floor(F.datediff(as_of, F.lit("1970-01-05").cast("date")) / 7) % 2 == 1
+
+
+def lot_header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weeks = fx_ship_weeks(spark, sf_dir)
+    return weeks.select("as_of", F.when(_later_layout(F.col("as_of")), 5).otherwise(3).alias("header_row"))
+
+
+def lot_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lot report as sheets of many weeks: a title row, the header where ``lot_header_rows`` says, and the data."""
+
+    def cells(values: list[Column]) -> list[Column]:
+        pairs = zip(values, reversed(values), strict=True)
+        later = _later_layout(F.col("as_of"))
+        return [F.when(later, b).otherwise(a).alias(f"c{n}") for n, (a, b) in enumerate(pairs, start=1)]
+
+    names = [F.lit(name.replace("_", " ").title()) for name in LOT_COLUMNS]
+    sheets = F.explode(F.array(F.lit("RM"), F.lit("FG"))).alias("sheet")
+    heads = lot_header_rows(spark, sf_dir).select("as_of", "header_row", sheets)
+    title = heads.select("as_of", "sheet", F.lit(1).cast("bigint").alias("row_no"), *cells([F.lit("Lots")] * len(names)))
+    header = heads.select("as_of", "sheet", F.col("header_row").cast("bigint").alias("row_no"), *cells(names))
+    data = _lots(spark, sf_dir).select("as_of", "sheet", "row_no", *cells([F.col(name) for name in LOT_COLUMNS]))
+    return title.unionByName(header).unionByName(data)
+
+
 def fx_jde_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = _with_part(_lines(spark, sf_dir), spark, sf_dir)
     suffix = F.when(F.col("p_size") % 3 == 0, "ABC").otherwise("")
@@ -281,21 +326,22 @@ def fx_inv_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_mfg_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to two makers of every item delivered to a location; other pairs have none."""
+    """Up to two makers of every item delivered to a location; items on order have another code."""
     maker = (F.col("l_suppkey") + F.col("l_linenumber") % 2) % 20
-    made = _lines(spark, sf_dir).filter(F.col("l_linestatus") == "F")
-    return made.select("l_suppkey", "l_partkey", maker.alias("maker")).distinct().select(
+    suffix = F.when(F.col("l_linestatus") == "F", "-ABC").otherwise("-OPN")
+    made = _lines(spark, sf_dir).select("l_suppkey", "l_partkey", maker.alias("maker"), suffix.alias("suffix"))
+    return made.distinct().select(
         text("l_suppkey").alias("location_no"),
-        F.concat(text("l_partkey"), F.lit("-ABC")).alias("product_label_sku_code"),
+        F.concat(text("l_partkey"), "suffix").alias("product_label_sku_code"),
         text("maker").alias("product_manufacturing_location_code"),
     )
 
 
 def fx_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots are taken on working days only."""
+    """Snapshots are taken on working days only: those of a weekend on the Friday before."""
     day = F.col("o_orderdate").cast("date")
-    orders = table(spark, sf_dir, "orders").filter(F.weekday(day) < 5)
-    return orders.select(day.alias("snapshot_date")).distinct()
+    working = F.date_sub(day, F.greatest(F.weekday(day) - 4, F.lit(0)))
+    return table(spark, sf_dir, "orders").select(working.alias("snapshot_date")).distinct()
 
 
 def fx_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,15 +52,18 @@ def head(sep: str = "-") -> str:
 
 DAY = "strftime(l_shipdate, '%Y-%m-%d')"
 TAIL = f"'~' || {DAY} || '~' || {txt('l_linenumber')}"
+BOM_EXTRAS = [f"x{n:02d}" for n in range(5, 44)]
 BOM_COLUMNS = f"""{txt('p_partkey % 20')} || '-' || {txt('p_partkey % 200')} || 'ABC' as ref,
   p_partkey as component, {txt('p_size')} as quantity_w_scrap,
-  case when p_size % 10 <> 0 then {txt('p_size * 3')} end as next_28_days_open_order"""
-EXCEPTION_COLUMNS = f"""case when p_partkey % 101 = 0 then 'OLD' else {txt('p_partkey % 100')} end as b_p,
+  case when p_size % 10 <> 0 then {txt('p_size * 3')} end as next_28_days_open_order,
+  {', '.join(f"p_brand || '-{int(x[1:])}' as {x}" for x in BOM_EXTRAS)}"""
+EXCEPTION_COLUMNS = f"""case when p_partkey % 101 = 0 then 'OLD' when p_partkey % 103 <> 0 then {txt('p_partkey % 100')} end as b_p,
   {txt('p_partkey')} as item_number, case when p_type = 'SMALL' then 'LBL' else p_type end as mpf_or_line"""
 
 INPUTS: dict[str, str] = {
-    "fx_campus": f"""select {txt('s_suppkey')} as location, {txt('s_nationkey')} as campus
-  from supplier where s_acctbal >= 0""",
+    "fx_campus": f"""select case when s_suppkey <> 1 then
+    cast(case when s_acctbal < 0 then s_suppkey + 90000000 else s_suppkey end as varchar) end as location,
+    {txt('s_nationkey')} as campus from supplier""",
     "fx_po": f"""select case when l_orderkey % 97 = 0
     then {head()} || '~x~y~' || {whole('l_quantity')}
     else {head()} || '~' || l_returnflag || '~' || l_linestatus || '~'
@@ -117,11 +120,11 @@ INPUTS: dict[str, str] = {
     {STATUS} as inventory_hold_status, {KNOWN_QTY} as inventory_qty_cases
   from {LINES_PART_SUPP}""",
     "fx_mfg_map": f"""select distinct {txt('l_suppkey')} as location_no,
-    {txt('l_partkey')} || '-ABC' as product_label_sku_code,
+    {txt('l_partkey')} || case l_linestatus when 'F' then '-ABC' else '-OPN' end as product_label_sku_code,
     {txt('(l_suppkey + l_linenumber % 2) % 20')} as product_manufacturing_location_code
-  from lineitem where l_linestatus = 'F'""",
-    "fx_snapshots": """select distinct cast(o_orderdate as date) as snapshot_date from orders
-  where isodow(o_orderdate) <= 5""",
+  from lineitem""",
+    "fx_snapshots": """select distinct cast(o_orderdate as date)
+    - cast(greatest(isodow(o_orderdate) - 5, 0) as integer) as snapshot_date from orders""",
     "fx_runs": "select distinct cast(date_trunc('week', o_orderdate) as date) as as_of from orders",
 }
 
@@ -156,10 +159,13 @@ SCRAP, OPEN = num("b.quantity_w_scrap"), num("b.next_28_days_open_order")
 
 def demand(bom: str, forecast: str, by: str = "") -> str:
     zero = {f: f"coalesce(f.{f}, 0)" for f in FCST}
-    first = f"""case when {OPEN} is not null then greatest({OPEN}, {zero['fcst_m01']}) end * {SCRAP} as dep_m01"""
+    if by:  # without a complete snapshot there is no forecast
+        zero = {f: f"case when b.months_found >= 14 then {z} end" for f, z in zero.items()}
+    first = f"""case when {OPEN} is not null and {zero['fcst_m01']} is not null
+    then greatest({OPEN}, {zero['fcst_m01']}) end * {SCRAP} as dep_m01"""
     rest = [f"{zero[f]} * {SCRAP} as {f.replace('fcst', 'dep')}" for f in FCST[1:]]
     return f"""select {"b.as_of, b.snapshot_date, " if by else ""}b.ref as mfg_ref, b.component,
-    {SCRAP} as quantity_w_scrap, {OPEN} as next_28_days_open_order,
+    {SCRAP} as quantity_w_scrap, {OPEN} as next_28_days_open_order, {', '.join(f'b.{x}' for x in BOM_EXTRAS[:27])},
     {', '.join(f'{z} as {f}' for f, z in zero.items())}, {first}, {', '.join(rest)}
   from {bom} b left join {forecast} f on b.ref = f.mfg_ref {"and b.snapshot_date = f.snapshot_date" if by else ""}"""
 
@@ -274,9 +280,14 @@ VIEWS: dict[str, str] = {
     "po_week": orders("fx_po", "po_no", by="as_of, "),
     "receipt_week": orders("fx_receipt", "receipt_no", by="as_of, "),
     "lag1_snap": forecast_months("fx_dsx_snapshots", by="snapshot_date, "),
-    "bom_dated": """select b.*, s.snapshot_date from fx_bom_week b left join (
-    select date_trunc('month', snapshot_date) as taken, min(snapshot_date) as snapshot_date
-    from fx_dsx_snapshots group by 1) s on s.taken = date_trunc('month', b.as_of) - interval 1 month""",
+    "months_of": """select snapshot_date, cast(count(distinct forecast_month_year_id) as integer) as months_found
+    from fx_dsx_snapshots group by 1""",
+    "chosen": """select w.as_of, s.snapshot_date, m.months_found
+    from (select distinct as_of from parts_by_week) w left join (
+      select date_trunc('month', snapshot_date) as taken, min(snapshot_date) as snapshot_date
+      from fx_dsx_snapshots group by 1) s on s.taken = date_trunc('month', w.as_of) - interval 1 month
+    left join months_of m on m.snapshot_date = s.snapshot_date""",
+    "bom_dated": "select b.*, c.snapshot_date, c.months_found from fx_bom_week b left join chosen c on b.as_of = c.as_of",
     "bom_week": demand("bom_dated", "lag1_snap", by="snapshot_date"),
     "exception_week": exceptions("fx_exception_week", by="as_of, "),
     "rm_lot_week": rm_lots(by="as_of, "),
@@ -317,7 +328,8 @@ ORACLES: dict[str, str] = {
     "promote_header": "select * from fx_exception",
     "drop_leading_rows": """select p_partkey + 5 as row_no, b_p as c1, item_number as c2, mpf_or_line as c3
   from fx_exception join part on item_number = cast(p_partkey as varchar)""",
-    "named_sheet_source": "select * from fx_lot where sheet = 'RM'",
+    "named_sheet_source": "select * exclude (sheet) from fx_lot where sheet = 'RM'",
+    "promote_header_per_run": "select * exclude (sheet) from fx_lot where sheet = 'RM'",
     "snapshot_select": """select as_of, snapshot_date from fx_runs left join (
   select date_trunc('month', snapshot_date) as taken, min(snapshot_date) as snapshot_date from fx_snapshots group by 1)
   on taken = date_trunc('month', as_of) - interval 1 month""",
@@ -329,7 +341,7 @@ ORACLES: dict[str, str] = {
     "project_drop": "select mfg_ref, dep_m01, dep_m02 from bom",
     "project_positional": "select location, campus_no, item from fx_lot",
     "rename_cols": "select item_number as item, mpf_or_line as label from fx_exception",
-    "relocate_cols": "select component, ref, next_28_days_open_order, quantity_w_scrap from fx_bom",
+    "relocate_cols": "select * from fx_bom",
     "ordinal_rename": f"""select mfg_ref, {', '.join(f'{f} as month_{i:02d}' for i, f in enumerate(FCST, 1))}
   from lag1""",
     "clean_names": """select b_p as b_p, item_number as item_number, mpf_or_line as na, b_p as na_2,
@@ -342,6 +354,8 @@ ORACLES: dict[str, str] = {
     "tolerant_date": """select v as value, try_cast(replace(v, '/', '-') as date) as "date" from (
   select string_split(line, '~')[7] as v from fx_po
   union all select replace(string_split(line, '~')[7], '-', '/') from fx_po)""",
+    "infer_types_cast": f"""select {num('bp')} as bp, {clean('item')} as item, {clean('description')} as description,
+  {', '.join(f'{num(c)} as {c}' for c in _TYPE_COLUMNS[3:])} from fx_inv_bal""",
     "code_to_text": f"select {num('item_number')} as number, {code(num('item_number'))} as code from fx_exception",
     # scalar functions and predicates
     "split_fixed": "select " + ", ".join(f"{PO_FIELDS}[{i}] as f{i}" for i in range(1, 9)) + " from fx_po",
@@ -372,6 +386,7 @@ ORACLES: dict[str, str] = {
   left join mfg_keyed m on a.ref = m.ref""",
     "join_bom_forecast": f"select mfg_ref, component, {', '.join(FCST)} from bom",
     "semi_join_labels": "select * from label_lot",
+    "duplicate_keys": """select campus, count(*) as "rows" from fx_campus group by 1 having count(*) > 1""",
     # aggregation, distinct, reshape, set operations
     "pivot_months": "select * from lag1",
     "unpivot_hold_status": " union all ".join(
@@ -423,6 +438,19 @@ ORACLES: dict[str, str] = {
     "fg_inventory_mfg_zero_fill": fg_mfg("coalesce(balance, 0)", "where item <> '''1'"),
     "lag1_lookup": "select ref, round(coalesce(fcst_m01, 0)) as lag1 from fx_bom left join lag1 on ref = mfg_ref",
     "weekly_bom_demand": "select * from bom_week",
+    "rm_inventory_from_grid": "select * from rm_week",
+    "forecast_gaps": """select as_of, snapshot_date, coalesce(months_found, 0) as months_found from chosen
+  where coalesce(months_found, 0) < 14""",
+    "weekly_po": "select * from po_week",
+    "weekly_receipt": "select * from receipt_week",
+    "weekly_exception_report": "select * from exception_week",
+    "weekly_rm_inventory": "select * from rm_week",
+    "weekly_fg_inventory": "select * from fg_lot_week",
+    "weekly_poisoned_forecast": f"""select as_of, p.* from chosen c join (
+    select snapshot_date, {key('product_manufacturing_location_code', SKU, '_')} as mfg_ref, forecast_month_year_id,
+      count(*) as "rows", count(*) - count(adjusted_forecast_cases) as bad_rows
+    from fx_dsx_snapshots group by 1, 2, 3 having count(*) > count(adjusted_forecast_cases)) p
+  on c.snapshot_date = p.snapshot_date where months_found >= 14""",
     "weekly_run": " union all ".join(
         summary(*args)
         for args in (

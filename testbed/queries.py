@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from matflow import functions as fn
 from matflow import operators as op
 from matflow import plans
 from matflow import sources as src
-from matflow.sources.scratch import scratch_folder
+from testbed.scratch import scratch_folder
 from testbed import adapters as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,12 @@ def named_sheet_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.named_sheet(fx.fx_lot(spark, sf_dir), "RM")
 
 
+@query
+def promote_header_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = src.named_sheet(fx.lot_grid(spark, sf_dir), "RM")
+    return src.promote_header_per_run(grid, fx.lot_header_rows(spark, sf_dir))
+
+
 @query
 def snapshot_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.select_snapshot(fx.fx_runs(spark, sf_dir), fx.fx_snapshots(spark, sf_dir))
@@ -67,12 +74,14 @@ def snapshot_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def snapshot_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two run dates, the second published again with newer keys: it is replaced, the first stays."""
+    """Three run dates: the first stays, the second is replaced, and the third is published again without rows."""
     root = scratch_folder(spark)
     older, newer = open_po_underscore(spark, sf_dir), open_po(spark, sf_dir)
     src.publish(older, root, "po", run_date("2024-01-02"))
     src.publish(older, root, "po", run_date("2024-01-09"))
     src.publish(newer, root, "po", run_date("2024-01-09"))
+    src.publish(older, root, "po", run_date("2024-01-16"))
+    src.publish(older.limit(0), root, "po", run_date("2024-01-16"), run_dates=[date(2024, 1, 16)])
     return src.read_published(spark, root, "po")
 
 
@@ -95,7 +104,7 @@ def project_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def project_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.project_positional(fx.fx_lot(spark, sf_dir), 2, 4)
+    return op.project_positional(fx.fx_lot(spark, sf_dir), range(2, 5))
 
 
 @query
@@ -145,6 +154,11 @@ def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.inferred_types(fx.fx_inv_bal(spark, sf_dir))
 
 
+@query
+def infer_types_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.infer_types(fx.fx_inv_bal(spark, sf_dir))
+
+
 @query
 def tolerant_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = fn.split_fixed("line", ["", "", "", "", "", "", "value", ""])
@@ -282,6 +296,11 @@ def semi_join_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.label_inventory(fx.fx_jde_lot(spark, sf_dir), fx.fx_exception(spark, sf_dir))
 
 
+@query
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.duplicate_keys(fx.fx_campus(spark, sf_dir), ["campus"])
+
+
 # --- aggregation, distinct, reshape, set operations -------------------------------------------
 
 
@@ -451,7 +470,8 @@ def fg_inventory_mfg_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lag1_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.lag1_lookup(fx.fx_bom(spark, sf_dir), forecast_lag1(spark, sf_dir))
+    forecast = plans.forecast_lag1(fx.fx_dsx(spark, sf_dir), keep_raw=True)
+    return plans.lag1_lookup(fx.fx_bom(spark, sf_dir), forecast)
 
 
 @query
@@ -480,3 +500,32 @@ def weekly_inputs(spark: SparkSession, sf_dir: str) -> plans.WeeklyInputs:
 @query
 def weekly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.weekly_summary(plans.weekly_tables(weekly_inputs(spark, sf_dir)))
+
+
+@query
+def rm_inventory_from_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the sheets of all weeks to the inventory: sheet, header, declared columns, flow."""
+    lots = src.enforce(promote_header_per_run(spark, sf_dir), "lot_inventory", keys=("as_of",))
+    erp, report = fx.fx_jde_lot(spark, sf_dir), fx.fx_exception_week(spark, sf_dir)
+    return plans.rm_inventory(lots, erp, report, by=["as_of"])
+
+
+@query
+def forecast_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs, forecast = fx.fx_ship_weeks(spark, sf_dir), fx.fx_dsx_snapshots(spark, sf_dir)
+    return plans.weekly.forecast_gaps(plans.weekly.choose_snapshots(runs, forecast))
+
+
+def _published(name: str) -> Query:
+    """One weekly table, published and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_folder(spark)
+        src.publish(plans.weekly_tables(weekly_inputs(spark, sf_dir))[name], root, name)
+        return src.read_published(spark, root, name)
+
+    return run
+
+
+PUBLISHED = ("po", "receipt", "exception_report", "rm_inventory", "fg_inventory", "poisoned_forecast")
+QUERIES.update({f"weekly_{name}": _published(name) for name in PUBLISHED})

@@ -60,7 +60,7 @@ def test_first_month_demand_is_null_without_open_order(spark):
         "ref string, quantity_w_scrap string, next_28_days_open_order string",
     )
     lag1 = plans.forecast_lag1(forecast_rows(spark, [("1", "X-ABC", m, "7") for m in FOURTEEN]))
-    got = plans.bom_demand(bom, lag1).collect()
+    got = plans.bom_demand(bom, lag1, width=3).collect()
     key = {(r.mfg_ref, r.next_28_days_open_order): (r.dep_m01, r.dep_m02) for r in got}
     # greatest would give 14 in the first row
     assert key == {
@@ -207,6 +207,65 @@ def test_clean_names():
     ]
 
 
+def test_clean_names_are_unique_and_plain():
+    assert op.clean_name_list(["Item", "Item", "Item 2", "Número", "item_2"]) == ["item", "item_2", "item_2_2", "numero", "item_2_3"]
+
+
+def test_positions_must_exist(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert op.project_positional(df, [3, 1]).columns == ["c", "a"]
+    with pytest.raises(ValueError, match="3 columns"):
+        op.project_positional(df, range(1, 5))
+    with pytest.raises(ValueError, match="3 columns"):
+        op.project_positional(df, [0])
+
+
+def test_a_short_snapshot_is_an_error(spark):
+    rows = forecast_rows(spark, [("1", "X-ABC", m, "7") for m in FOURTEEN[:8]])
+    with pytest.raises(Exception, match="needs 14 months and has 8"):
+        plans.forecast_lag1(rows).collect()
+
+
+def weekly_forecast(spark):
+    months = {"2024-01-03": FOURTEEN, "2024-02-01": FOURTEEN[:8]}
+    rows = [(day, "1", "X-ABC", m, "7") for day, listed in months.items() for m in listed]
+    columns = (
+        "snapshot_date string, product_manufacturing_location_code string, product_label_sku_code string, "
+        "forecast_month_year_id string, adjusted_forecast_cases string"
+    )
+    return spark.createDataFrame(rows, columns).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+
+
+def test_runs_without_a_complete_snapshot_have_no_forecast(spark):
+    days = ["2024-02-06", "2024-03-05", "2024-05-07"]
+    runs = spark.createDataFrame([(d,) for d in days], "as_of string").withColumn("as_of", F.col("as_of").cast("date"))
+    wide = {f"x{n:02d}": F.lit("x") for n in range(4, 44)}
+    bom = runs.select("as_of", *(F.lit(v).alias(n) for n, v in (("ref", "1-XABC"), ("quantity_w_scrap", "2"), ("next_28_days_open_order", "3"))))
+    got = plans.weekly.weekly_bom_demand(bom.withColumns(wide), weekly_forecast(spark), runs)
+    assert got.columns[:3] == ["as_of", "snapshot_date", "mfg_ref"] and "x31" in got.columns and "x32" not in got.columns
+    rows = {str(r.as_of): (r.fcst_m01, r.fcst_m12, r.dep_m01) for r in got.collect()}
+    assert rows == {days[0]: (7.0, 7.0, 14.0), days[1]: (None, None, None), days[2]: (None, None, None)}
+    chosen = plans.weekly.choose_snapshots(runs, weekly_forecast(spark))
+    gaps = sorted((str(r.as_of), str(r.snapshot_date), r.months_found) for r in plans.weekly.forecast_gaps(chosen).collect())
+    assert gaps == [(days[1], "2024-02-01", 8), (days[2], "None", 0)]
+
+
+def test_lookup_gives_one_row_a_ref(spark):
+    rows = [(a, b, m, q) for a, b, q in (("1_2", "X-ABC", "5"), ("1-2", "XA-BC", "9")) for m in FOURTEEN]
+    forecast = plans.forecast_lag1(forecast_rows(spark, rows), keep_raw=True)
+    assert sorted(r.raw_ref for r in forecast.collect()) == ["1-2_XABC", "1_2_XABC"]
+    refs = spark.createDataFrame([("1-2-XABC",), ("other",)], "ref string")
+    got = sorted((r.ref, r.lag1) for r in plans.lag1_lookup(refs, forecast).collect())
+    assert got == [("1-2-XABC", 9.0), ("other", 0.0)]
+
+
+def test_a_null_location_finds_the_null_campus(spark):
+    campus = spark.createDataFrame([(None, "C"), ("7", "D")], "location string, campus string")
+    rows = spark.createDataFrame([(None, "a"), ("7", "b"), ("8", "c")], "location string, item string")
+    got = sorted((r.item, r.campus or "-") for r in op.join_campus_text(rows, campus).collect())
+    assert got == [("a", "C"), ("b", "D"), ("c", "-")]
+
+
 def test_label_lots_are_added_once_and_keep_the_item_text(spark):
     erp = spark.createDataFrame(
         [("25", "007", "lab", "3"), ("25", "007", "lab", "3"), ("55", "8", "no label", "1"), ("25", "7ABC", "fg", "1")],

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matflow import sources as src
-from matflow.sources.scratch import scratch_folder
+from testbed.scratch import scratch_folder
 
 DAY1, DAY2 = dt.date(2024, 1, 2), dt.date(2024, 1, 9)
 
@@ -60,12 +60,13 @@ def test_promote_header(spark):
     got = src.promote_header(one, 2)
     assert got.columns == ["b_p", "item_number"]
     assert [tuple(r) for r in got.collect()] == [("26", "7")]
-    with pytest.raises(ValueError, match="no row 9"):
+    with pytest.raises(ValueError, match="row 9"):
         src.promote_header(one, 9)
 
 
 def test_promote_header_per_run(spark):
-    got = src.promote_header(grid(spark), 2, run="as_of").select("as_of", "b_p", "item_number")
+    rows = spark.createDataFrame([(DAY1, 2), (DAY2, 2)], "as_of date, header_row int")
+    got = src.promote_header_per_run(grid(spark), rows).select("as_of", "b_p", "item_number")
     assert sorted(tuple(r) for r in got.collect()) == [
         (DAY1, "26", "7"),
         (DAY2, "25", "9"),
@@ -73,6 +74,69 @@ def test_promote_header_per_run(spark):
     ]
 
 
+def test_header_rows_differ_by_run_and_must_be_there(spark):
+    rows = spark.createDataFrame([(DAY1, 1), (DAY2, 3)], "as_of date, header_row int")
+    got = src.promote_header_per_run(grid(spark), rows)
+    assert got.columns == ["as_of", "x8", "x55", "title", "na"]
+    assert sorted((r.as_of, r.x8, r.title) for r in got.collect() if r.as_of == DAY2) == [(DAY2, "9", None)]
+    late = spark.createDataFrame([(DAY1, 9), (DAY2, 2)], "as_of date, header_row int")
+    with pytest.raises(ValueError, match="2024, 1, 2"):
+        src.promote_header_per_run(grid(spark), late)
+
+
+def test_two_headers_are_an_error(spark):
+    with pytest.raises(ValueError, match="found 2"):
+        src.promote_header(grid(spark).drop("as_of"), 2)
+
+
+def test_sheet_to_header(spark):
+    rows = [("RM", 1, "loc", "item"), ("RM", 2, "1", "2"), ("FG", 1, "x", "y")]
+    sheets = spark.createDataFrame(rows, "sheet string, row_no int, c1 string, c2 string")
+    got = src.promote_header(src.named_sheet(sheets, "RM"), 1)
+    assert got.columns == ["loc", "item"] and [tuple(r) for r in got.collect()] == [("1", "2")]
+
+
+@pytest.mark.parametrize(
+    ("path", "expected"),
+    [
+        ("file:/a/12.12.2023/po.csv", dt.date(2023, 12, 12)),
+        ("file:/a/2023/12.12.23/po.csv", dt.date(2023, 12, 12)),
+        ("file:/a/6.8.23/po.csv", dt.date(2023, 6, 8)),
+        ("file:/a/2023/12.12/po.csv", dt.date(2023, 12, 12)),
+        ("file:/a/01.02.2024/DNRR 01.09.24.csv", dt.date(2024, 1, 2)),
+        ("file:/a/week/report 1.9.2024.csv", DAY2),
+        ("file:/a/v1.2.3.4/po.csv", None),
+        ("file:/a/po.csv", None),
+    ],
+)
+def test_run_date_of_a_path(spark, path, expected):
+    df = spark.createDataFrame([(path,)], "path string")
+    assert df.select(src.as_of_from_path(F.col("path"))).first()[0] == expected
+
+
+def test_quotes_backslashes_and_commas_in_records(spark, tmp_path):
+    (tmp_path / "new.csv").write_text('"","x"\n"1","a~5"" pipe~c"\n"2","a~q\\"\n"3","d, e~f"\n')
+    got = src.read_numbered_lines(spark, str(tmp_path / "new.csv"), as_of=F.lit(DAY1)).collect()
+    assert sorted(tuple(r) for r in got) == [('a~5" pipe~c', DAY1), ("a~q\\", DAY1), ("d, e~f", DAY1)]
+    (tmp_path / "old.csv").write_text('"a~5"" pipe~c"\n"d, e~f"\ng~h,second field\n')
+    got = src.read_record_lines(spark, str(tmp_path / "old.csv"), as_of=F.lit(DAY1)).collect()
+    assert sorted(r.line for r in got) == ['a~5" pipe~c', "d, e~f", "g~h"]
+
+
+def test_empty_rerun_clears_its_run_dates(spark, tmp_path):
+    root, schema = str(tmp_path), "ref string, as_of date"
+    src.publish(spark.createDataFrame([("a", DAY1), ("b", DAY2)], schema), root, "po")
+    src.publish(spark.createDataFrame([], schema), root, "po", run_dates=[DAY1])
+    assert [tuple(r) for r in src.read_published(spark, root, "po").collect()] == [("b", DAY2)]
+    src.publish(spark.createDataFrame([("c", DAY1)], schema), root, "po", run_dates=[DAY1, DAY2])
+    assert [tuple(r) for r in src.read_published(spark, root, "po").collect()] == [("c", DAY1)]
+
+
+def test_rows_without_a_run_date_are_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="no run date"):
+        src.publish(spark.createDataFrame([("a", None)], "ref string, as_of date"), str(tmp_path), "po")
+
+
 def test_declared_columns(spark):
     df = spark.createDataFrame([(1, "x", 2)], "campus int, extra string, location int")
     got = src.enforce(df, "campus")
