@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
 HASH_BYTES = 1 << 20
@@ -61,6 +62,14 @@ def slices(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
     return ranges([len(text) + 64 for text in texts], limit)
 
 
+def parts(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(from, to, texts) of a column piece by piece, so that only one piece is copied at a time."""
+    # 64 bytes a text bound the number of very short texts in a piece.
+    sizes = pc.add(pc.fill_null(pc.binary_length(column), 0), 64)
+    for begin, end in ranges(sizes.to_pylist(), limit):
+        yield begin, end, text_bytes(column.slice(begin, end - begin))
+
+
 class Block:
     """Texts end to end, each followed by a line feed."""
 

@@ -18,11 +18,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     partial aggregation and one join on the node, whose hot keys adaptive execution splits; no node's neighbours
     are ever gathered.
     """
-    edges = cut(_pointing_down(edges.select("a", "b")))
+    edges = _pointing_down(edges.select("a", "b"))
     for _ in range(MOST_ROUNDS):
+        edges = cut(_small_star(_large_star(edges)))
         if _settled(edges):
             break
-        edges = cut(_small_star(_large_star(edges)))
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import Block, Words, chain, mix, runs, slices, text_bytes, window_hashes
+from matflow.llm.blocks import Block, Words, chain, mix, parts, runs, slices, text_bytes, window_hashes
 from matflow.llm.components import connected_components
 from matflow.llm.storage import stored
 
@@ -37,6 +37,7 @@ DARTS = int(COORDINATES * (np.log(COORDINATES) + 4))
 LEAST_ESTIMATE = 0.66
 #: Rounds of leaders. Where very many texts are about as similar as a link needs, the last rounds find few new links.
 MOST_ROUNDS = 4
+PAIR = ("a", "b", "a_component", "b_component")
 
 _SIGNATURE = "weight int, bands array<bigint>, sketch binary"
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -114,10 +115,9 @@ def signature(text: str = "text") -> Column:
 
     def signed(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            texts = text_bytes(column)
             weights, bands, sketches = [], [], []
-            for begin, end in slices(texts):
-                weight, kept = signatures(texts[begin:end])
+            for _, _, texts in parts(column):
+                weight, kept = signatures(texts)
                 some = weight > 0
                 sketch = (mix(kept) >> np.uint64(56)).astype(np.uint8)
                 weights.extend(weight.tolist())
@@ -183,22 +183,36 @@ def _label(nodes: DataFrame, column: str, components: DataFrame | None, name: st
 
 
 def _candidates(shared: DataFrame, components: DataFrame | None, number: int) -> DataFrame:
-    """(a, b) with a < b: members of a bucket with its leaders, where their components differ.
+    """(a, b) with a < b: members of a bucket with its leader, where their components differ, and these components.
 
     Buckets whose members are of one component are done. The leader is the member of the least hash: at first the
     same hash in all buckets, so that large groups gather around few leaders, then one for each bucket and round.
-    The second round has a second leader, the member of the largest hash.
+    At first a member meets only the leader it shares the most buckets with.
     """
     labelled = _label(shared, "id", components, "component")
     drawn = F.xxhash64("id", "bucket", F.lit(number)) if number else F.xxhash64("id")
     member = F.struct(drawn.alias("draw"), "id", "component")
-    picked = [F.min(member), F.max(member)] if number == 1 else [F.min(member)]
     leaders = labelled.groupBy("bucket").agg(
-        F.array(*picked).alias("leaders"), (F.min("component") != F.max("component")).alias("open")
+        F.min(member).alias("leader"), (F.min("component") != F.max("component")).alias("open")
     )
-    leaders = leaders.filter("open").select("bucket", F.explode("leaders").alias("leader"))
+    leaders = leaders.filter("open").select("bucket", "leader")
     met = labelled.join(leaders, "bucket").filter(F.col("component") != F.col("leader.component"))
-    return met.select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct()
+    if not number:
+        together = met.groupBy("id", "component", "leader").agg(F.count(F.lit(1)).alias("n"))
+        met = together.groupBy("id", "component").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
+    ends = F.array_sort(F.array(F.struct("id", "component"), F.struct("leader.id", "leader.component")))
+    pairs = met.select(ends[0].alias("x"), ends[1].alias("y"))
+    return pairs.select(*(F.col(c).alias(n) for c, n in zip(("x.id", "y.id", "x.component", "y.component"), PAIR))).distinct()
+
+
+def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after links between components; each component is a node of itself."""
+    joined = connected_components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")))
+    if components is None:
+        return joined
+    renamed = joined.select(F.col("node").alias("component"), F.col("component").alias("__new"))
+    moved = components.join(renamed, "component", "left").select("node", F.coalesce("__new", "component").alias("component"))
+    return stored(moved.union(joined.join(components, "node", "left_anti")), "components")
 
 
 def _with_both(edges: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -223,21 +237,19 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> Da
     met = reps.join(shared.select("id").distinct(), "id", "left_semi").select("id", "key")
     texts = stored(keyed.join(met, "key").dropDuplicates(["key"]).select("id", "text"), "texts")
 
-    components, tried, links = None, None, None
+    components, tried = None, None
     for number in range(MOST_ROUNDS):
         edges = _candidates(shared, components, number)
         if tried is not None:
             edges = edges.join(tried, ["a", "b"], "left_anti")
-        estimated = _with_both(edges, reps, "sketch").select("a", "b", _estimate("left", "right").alias("estimate"))
+        estimated = _with_both(edges, reps, "sketch").select(*PAIR, _estimate("left", "right").alias("estimate"))
         likely = stored(estimated.filter(F.col("estimate") >= LEAST_ESTIMATE), "candidates")
-        exact = _with_both(likely.select("a", "b"), texts, "text").select("a", "b", _similarity("left", "right").alias("similarity"))
-        checked = stored(exact, "checked")
-        found = checked.filter(F.col("similarity") >= similarity).select("a", "b")
+        exact = _with_both(likely, texts, "text").select(*PAIR, _similarity("left", "right").alias("similarity"))
+        found = stored(exact.filter(F.col("similarity") >= similarity), "links")
         if found.isEmpty():
             break
-        links = found if links is None else links.union(found)
         tried = likely.select("a", "b") if tried is None else tried.union(likely.select("a", "b"))
-        components = connected_components(links)
+        components = _merged(components, found)
     return _label(reps.select("key", "id"), "id", components, "group").select("key", "group")
 
 
