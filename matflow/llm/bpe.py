@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import Block, runs, slices, text_bytes
+from matflow.llm.blocks import parts, runs
 
 #: Pre-tokens whose ids a task remembers; beyond that it starts anew.
 REMEMBERED = 300_000
 #: Bytes of text whose new pre-tokens share a queue.
-QUEUE_BYTES = 6 << 20
+QUEUE_BYTES = 3 << 20
 
 # The code points with the property White_Space.
 _SPACES = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -233,10 +233,10 @@ class Encoder:
                 begins[at + 1] = False
                 begins[at + 1 + size] = True
 
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+    def encode(self, column: pa.Array) -> Iterator[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        for begin, end in slices(texts, QUEUE_BYTES):
-            pieces, first = self.split(texts[begin:end])
+        for _, _, texts in parts(column, QUEUE_BYTES):
+            pieces, first = self.split(texts)
             if len(self.seen) > REMEMBERED:
                 self.seen.clear()
             new = []
@@ -282,7 +282,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Colum
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(Vocabulary(*shared.value))
         for column in columns:
-            yield _id_lists(list(encoder.encode(text_bytes(column))))
+            yield _id_lists(list(encoder.encode(column)))
 
     return _arrow(ids, "array<int>")(F.col(text))
 
@@ -311,7 +311,7 @@ def tokenize(docs: DataFrame, vocabulary: Vocabulary, carry: list[str], text: st
         encoder = Encoder(Vocabulary(*shared.value))
         for column in columns:
             found, ids_hex, text_hex = [], [], []
-            for ids in encoder.encode(text_bytes(column)):
+            for ids in encoder.encode(column):
                 found.append(ids)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())
                 text_hex.append(hashlib.sha256(encoder.decode(ids)).hexdigest())

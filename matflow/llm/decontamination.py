@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import NOT_ALPHANUMERIC, covered, ranges, text_bytes
+from matflow.llm.blocks import NOT_ALPHANUMERIC, covered, parts, ranges, text_bytes
 from matflow.llm.storage import stored
 
 WINDOW = 13
@@ -79,9 +79,9 @@ def _passes(benchmark: DataFrame) -> Iterator[TestItems]:
     """The test items in parts of bounded size; equal rows count once."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
     size = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    parts = max(1, -(-size // PASS_BYTES))
-    for part in range(parts):
-        yield _items(rows.filter(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).orderBy("item", "text").toArrow())
+    passes = max(1, -(-size // PASS_BYTES))
+    for at in range(passes):
+        yield _items(rows.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == at).orderBy("item", "text").toArrow())
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -94,9 +94,9 @@ def _unpack(data: bytes, count: int) -> np.ndarray:
 
 def _segments(batches: Iterator[pa.RecordBatch], vocabulary: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2))
-        for begin, end in ranges([len(text) + 8 * _GAP for text in texts], SEGMENT_BYTES):
-            words = [tokens(text) for text in texts[begin:end]]
+        ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for begin, end, texts in parts(batch.column(2), SEGMENT_BYTES):
+            words = [tokens(text) for text in texts]
             n_words = list(map(len, words))
             term = np.concatenate([np.fromiter(map(vocabulary.get, w, repeat(-1)), np.int32, len(w)) for w in words])
             place = np.arange(len(term)) + np.repeat(np.arange(1, len(words) + 1) * _GAP, n_words)
@@ -233,14 +233,14 @@ def find_test_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     words match nothing; an id that several items share counts once.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row_key"), "text")
-    context, found, parts = docs.sparkSession.sparkContext, None, 0
+    context, found, passes = docs.sparkSession.sparkContext, None, 0
     for items in _passes(benchmark):
         # Plain values: a broadcast is unpickled without this package.
         shared = context.broadcast((items.names, items.vocabulary, items.terms, items.first))
         index = build_index(rows, items.vocabulary)
         matches = index.mapInArrow(lambda batches, shared=shared: _look_up(batches, TestItems(*shared.value)), _RESULT)
-        found, parts = (matches if found is None else found.unionByName(matches)), parts + 1
-    if parts == 1:
+        found, passes = (matches if found is None else found.unionByName(matches)), passes + 1
+    if passes == 1:
         return found
     joined = {name: F.array_distinct(F.flatten(F.collect_set(name))).alias(name) for name in ("hit_at", "items", "near")}
     merged = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), *joined.values())

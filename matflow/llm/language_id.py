@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import slices, text_bytes
+from matflow.llm.blocks import parts
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.05
@@ -54,7 +54,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[
     counts = np.zeros((0, buckets), np.int64)
     documents = np.zeros(0, np.int64)
     for batch in batches:
-        texts, langs = text_bytes(batch.column(0)), batch.column(1).to_pylist()
+        langs = batch.column(1).to_pylist()
         for lang in langs:
             order.setdefault(lang, len(order))
         if (more := len(order) - len(counts)) > 0:
@@ -62,8 +62,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[
             documents = np.concatenate([documents, np.zeros(more, np.int64)])
         of_text = np.fromiter((order[lang] for lang in langs), np.int64, len(langs))
         documents += np.bincount(of_text, minlength=len(order))
-        for begin, end in slices(texts):
-            grams, text = _hashed_ngrams(texts[begin:end], letters, buckets)
+        for begin, end, texts in parts(batch.column(0)):
+            grams, text = _hashed_ngrams(texts, letters, buckets)
             base = of_text[begin:end][text] * buckets
             for gram in grams:
                 counts += np.bincount(base + gram, minlength=counts.size).reshape(counts.shape)
@@ -87,13 +87,13 @@ class LanguageModel:
     log_prior: np.ndarray
     log_probability: np.ndarray
 
-    def score(self, texts: list[bytes], letters: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def score(self, column: pa.Array, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The likeliest language of each text (the first one of a tie) and its posterior probability."""
-        best, score = np.full(len(texts), -1), np.zeros(len(texts))
+        best, score = np.full(len(column), -1), np.zeros(len(column))
         if self.languages:
             limit = (8 << 20) // len(self.languages)
-            for begin, end in slices(texts, max(limit, 1 << 14)):
-                grams, text = _hashed_ngrams(texts[begin:end], letters, len(self.log_probability))
+            for begin, _, texts in parts(column, max(limit, 1 << 14)):
+                grams, text = _hashed_ngrams(texts, letters, len(self.log_probability))
                 if not len(text):
                     continue
                 first = np.concatenate([[0], np.flatnonzero(text[1:] != text[:-1]) + 1])
@@ -138,7 +138,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters, learned = _letter_table(), LanguageModel(*shared.value)
         for column in columns:
-            langs, scores = learned.score(text_bytes(column), letters)
+            langs, scores = learned.score(column, letters)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     score.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}

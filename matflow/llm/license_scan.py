@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import NOT_ALPHANUMERIC, Block, Words, chain, slices, text_bytes
+from matflow.llm.blocks import NOT_ALPHANUMERIC, Block, Words, chain, parts
 
 #: Least Dice coefficient of a match.
 LEAST_DICE = 0.85
@@ -142,9 +142,9 @@ def find_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]], least:
         own = Templates(*shared.value)
         kind = pa.struct([("license", pa.string()), ("dice", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
         for column in columns:
-            texts, sizes, matches = text_bytes(column), [np.zeros(0, np.int64)], []
-            for begin, end in slices(texts):
-                counts, found = scan(texts[begin:end], own, least)
+            sizes, matches = [np.zeros(0, np.int64)], []
+            for _, _, texts in parts(column):
+                counts, found = scan(texts, own, least)
                 sizes.append(counts)
                 matches.extend(found)
             lists = pa.array(matches, pa.list_(kind))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import Block, Words, runs, slices, text_bytes
+from matflow.llm.blocks import Block, Words, parts, runs, text_bytes
 
 #: Hashed terms of a text: trigrams of character shapes, words, and marks of repetition.
 SHAPE_TERMS, WORD_TERMS = 1 << 12, 1 << 13
@@ -73,10 +73,9 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """In how many of the task's texts each term occurs; the number of texts under term -1."""
     shapes, total, texts_seen = _shapes(), np.zeros(TERMS, np.int64), 0
     for batch in batches:
-        texts = text_bytes(batch.column(0))
-        texts_seen += len(texts)
-        for begin, end in slices(texts):
-            total += np.bincount(term_counts(texts[begin:end], shapes)[1], minlength=TERMS)
+        texts_seen += batch.num_rows
+        for _, _, texts in parts(batch.column(0)):
+            total += np.bincount(term_counts(texts, shapes)[1], minlength=TERMS)
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(total[found], texts_seen))], ["term", "n"]
@@ -116,14 +115,14 @@ class NeighbourModel:
     labels: np.ndarray
     prior: float
 
-    def score(self, texts: list[bytes], shapes: np.ndarray) -> np.ndarray:
+    def score(self, column: pa.Array, shapes: np.ndarray) -> np.ndarray:
         """The share of label 1 among the nearest examples, weighted by similarity; the prior where none is similar."""
-        scores = np.full(len(texts), self.prior)
+        scores = np.full(len(column), self.prior)
         if not len(self.labels):
             return scores
         near = min(NEIGHBOURS, len(self.labels))
-        for begin, end in slices(texts):
-            text, term, count = term_counts(texts[begin:end], shapes)
+        for begin, end, texts in parts(column):
+            text, term, count = term_counts(texts, shapes)
             weight = _weighted(text, term, count, self.inverse)
             own = _project(text, term, weight, self.projection, end - begin)
             for low in range(0, end - begin, ROWS_A_BLOCK):
@@ -232,7 +231,7 @@ def score(docs: DataFrame, model: NeighbourModel, text: str = "text") -> Column:
     def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         learned, shapes = NeighbourModel(*shared.value), _shapes()
         for column in columns:
-            yield pa.array(learned.score(text_bytes(column), shapes), pa.float64())
+            yield pa.array(learned.score(column, shapes), pa.float64())
 
     scored.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(scored, "double")(F.col(text))

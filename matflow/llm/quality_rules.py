@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import NOT_ALPHANUMERIC, Block, Words, chain, covered, range_hashes, runs, slices, text_bytes, window_hashes
+from matflow.llm.blocks import NOT_ALPHANUMERIC, Block, Words, chain, covered, parts, range_hashes, runs, window_hashes
 
 #: Most common words of a language that its word histogram has; all others share one bin.
 COMMON_WORDS = 50
@@ -107,7 +107,7 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of words and character classes by language."""
     kinds, order = _character_classes(), {}
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    tallies: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     classes = np.zeros((0, CLASSES), np.int64)
 
     def rows(language: np.ndarray, words: np.ndarray | None, character: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
@@ -124,32 +124,32 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     def merged():
-        language, words, n = (np.concatenate(x) for x in zip(*parts))
+        language, words, n = (np.concatenate(x) for x in zip(*tallies))
         by = np.lexsort((words, language))
         language, words, n = language[by], words[by], n[by]
         changed = np.union1d(runs(words), runs(language))
         return language[changed], words[changed], np.add.reduceat(n, changed)
 
     for batch in batches:
-        texts, langs = text_bytes(batch.column(0)), batch.column(1).to_pylist()
+        langs = batch.column(1).to_pylist()
         of_text = np.array([order.setdefault(lang, len(order)) for lang in langs], np.int64)
         if len(order) > len(classes):
             classes = np.concatenate([classes, np.zeros((len(order) - len(classes), CLASSES), np.int64)])
-        for begin, end in slices(texts):
-            np.add.at(classes, of_text[begin:end], _class_counts(Block(texts[begin:end]), kinds))
-            words, text, _ = _plain_words(texts[begin:end])
+        for begin, end, texts in parts(batch.column(0)):
+            np.add.at(classes, of_text[begin:end], _class_counts(Block(texts), kinds))
+            words, text, _ = _plain_words(texts)
             language = of_text[begin:end][text]
             by = np.lexsort((words, language))
             words, language = words[by], language[by]
             changed = np.union1d(runs(words), runs(language)).astype(np.int64)
             if len(changed):
-                parts.append((language[changed], words[changed], np.diff(np.append(changed, len(words)))))
-            if sum(len(part[0]) for part in parts) > 1_500_000:
-                parts = [merged()]
-                if len(parts[0][0]) > 1_000_000:
-                    language, words, n = parts.pop()
+                tallies.append((language[changed], words[changed], np.diff(np.append(changed, len(words)))))
+            if sum(len(tally[0]) for tally in tallies) > 1_500_000:
+                tallies = [merged()]
+                if len(tallies[0][0]) > 1_000_000:
+                    language, words, n = tallies.pop()
                     yield rows(language, words, None, n)
-    if parts:
+    if tallies:
         language, words, n = merged()
         yield rows(language, words, None, n)
     language, character = np.nonzero(classes)
@@ -236,15 +236,13 @@ def judge(docs: DataFrame, references: References, text: str = "text") -> Column
     def measured(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, kinds = References(*shared.value), _character_classes()
         for column in columns:
-            texts = text_bytes(column)
-            parts = [{**base_counts([]), "character_distance": np.zeros(0), "word_distance": np.zeros(0)}]
-            for begin, end in slices(texts):
-                piece = texts[begin:end]
+            found = [{**base_counts([]), "character_distance": np.zeros(0), "word_distance": np.zeros(0)}]
+            for _, _, piece in parts(column):
                 counts = base_counts(piece)
                 counts["character_distance"], counts["word_distance"] = distances(piece, known, kinds)
-                parts.append(counts)
-            names = list(parts[0])
-            joined = {name: np.concatenate([part[name] for part in parts]) for name in names}
+                found.append(counts)
+            names = list(found[0])
+            joined = {name: np.concatenate([part[name] for part in found]) for name in names}
             arrays = [pa.array(joined[n], pa.float64() if n.endswith("distance") else pa.int64()) for n in names]
             yield pa.StructArray.from_arrays(arrays, names)
 

@@ -23,13 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matflow.llm.blocks import Block, Words, chain, covered, runs, slices, text_bytes, window_hashes
+from matflow.llm.blocks import Block, Words, chain, covered, parts, runs, text_bytes, window_hashes
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
 #: Text in a block, and suffixes in a group of subtrees: what one task holds at a time.
-BLOCK_TEXT = 6 << 20
-GROUP_SUFFIXES = 2_000_000
+BLOCK_TEXT = 4 << 20
+GROUP_SUFFIXES = 1_500_000
 #: Longer prefixes that the census may list of each length; they are broadcast (8 bytes each).
 MOST_PREFIXES = 50_000
 #: Bytes of text for each suffix, to set the number of groups before words are counted.
@@ -77,9 +77,8 @@ def _census(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
     tallies = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in PREFIXES]
     total = 0
     for batch in batches:
-        texts = text_bytes(batch.column(0))
-        for begin, end in slices(texts):
-            suffixes = _Suffixes(texts[begin:end])
+        for _, _, texts in parts(batch.column(0)):
+            suffixes = _Suffixes(texts)
             total += len(suffixes.start)
             for level, prefix in enumerate(suffixes.prefixes()):
                 tallies[level] = _added(tallies[level], np.unique(prefix, return_counts=True), total * least)
@@ -195,9 +194,9 @@ def _group_bits(table: pa.Table) -> pa.Table:
     least = np.minimum.reduceat(document[order], first)
     beaten = np.empty(len(order), bool)
     beaten[order] = np.repeat(least, np.diff(np.append(first, len(order)))) < document[order]
-    parts = np.split(beaten, np.cumsum(sizes)[:-1])
+    answers = np.split(beaten, np.cumsum(sizes)[:-1])
     group = table.column("__group")[0].as_py()
-    bits = [pa.compress(np.packbits(part).tobytes(), codec="zstd", asbytes=True) for part in parts]
+    bits = [pa.compress(np.packbits(part).tobytes(), codec="zstd", asbytes=True) for part in answers]
     return pa.table(
         [pa.array(blocks, pa.int64()), pa.array([group] * len(blocks), pa.int64()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())],
         ["__block", "__group", "n", "bits"],

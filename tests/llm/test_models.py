@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,11 +76,11 @@ def test_quality_held_out(documents, labels):
 def test_quality_votes_are_those_of_all_examples(documents, labels):
     """Blocked products pick the same neighbours as one plain product."""
     model = quality_classifier.fit(documents, labels)
-    texts = [(r["text"] or "").encode() for r in documents.orderBy("doc_id").limit(60).collect()]
+    texts = [r["text"] for r in documents.orderBy("doc_id").limit(60).collect()]
     shapes = quality_classifier._shapes()
-    got = model.score(texts, shapes)
+    got = model.score(pa.array(texts), shapes)
     for text, score in zip(texts, got):
-        rows, terms, counts = quality_classifier.term_counts([text], shapes)
+        rows, terms, counts = quality_classifier.term_counts([text.encode()], shapes)
         weight = quality_classifier._weighted(rows, terms, counts, model.inverse)
         vector = (model.projection[terms].astype(float) * weight[:, None]).sum(axis=0)
         cosine = model.vectors @ vector / max(np.linalg.norm(vector), 1e-12)
