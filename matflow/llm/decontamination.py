@@ -170,13 +170,8 @@ class _Segment:
             found.append((phrase, at))
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
-    def near(self, terms_of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(item, document) where an item's rarest terms lie close together; ``terms_of`` has each item's terms once."""
-        chosen = np.full((len(terms_of), NEAR_TERMS), -1, np.int64)
-        for item, own in enumerate(terms_of):
-            own = own[np.argsort(self.length[own], kind="stable")][:NEAR_TERMS]
-            if len(own) == NEAR_TERMS and self.length[own[0]]:
-                chosen[item] = own
+    def near(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, document) where an item's rarest terms, a row of ``chosen``, lie close to the first of them."""
         some = np.flatnonzero(chosen[:, 0] >= 0)
         span = np.int64(self.size + _GAP)
         listed = np.repeat(np.arange(len(self.length)), self.length) * span + self.positions
@@ -201,9 +196,36 @@ def _lists(item: np.ndarray, document: np.ndarray, names: tuple[str, ...], count
     return found
 
 
-def _look_up(batches: Iterator[pa.RecordBatch], items: TestItems) -> Iterator[pa.RecordBatch]:
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The length of each term's lists."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            columns = [pa.array(_unpack(row[name], row["n_terms"])) for name in ("terms", "lengths")]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
+
+
+def _rarest_terms(index: DataFrame, items: TestItems) -> np.ndarray:
+    """The NEAR_TERMS terms of each item that occur least in the whole index, equals in the order of their bytes.
+
+    -1 for items of fewer terms, or with a term that does not occur. What is collected is a count for each term of
+    the test items.
+    """
+    table = index.mapInArrow(_term_counts, "term int, n int").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(len(items.vocabulary), np.int64)
+    count[table.column("term").to_numpy()] = table.column("n").to_numpy()
+    by_bytes = np.empty(len(count), np.int64)
+    by_bytes[[number for _, number in sorted(items.vocabulary.items())]] = np.arange(len(count))
+    chosen = np.full((len(items.names), NEAR_TERMS), -1, np.int64)
+    for item, (low, high) in enumerate(zip(items.first, items.first[1:])):
+        own = np.unique(items.terms[low:high])
+        own = own[np.lexsort((by_bytes[own], count[own]))][:NEAR_TERMS]
+        if len(own) == NEAR_TERMS and count[own[0]]:
+            chosen[item] = own
+    return chosen
+
+
+def _look_up(batches: Iterator[pa.RecordBatch], items: TestItems, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     item, begin, size = items.windows()
-    terms_of = [np.unique(items.terms[low:high]) for low, high in zip(items.first, items.first[1:])]
     for batch in batches:
         for row in batch.to_pylist():
             segment = _Segment(row, len(items.vocabulary))
@@ -219,7 +241,7 @@ def _look_up(batches: Iterator[pa.RecordBatch], items: TestItems) -> Iterator[pa
                     pa.array(segment.n_words),
                     pa.array(marks, pa.list_(pa.int32())),
                     pa.array(_lists(item[phrase], segment.document(at), items.names, count), pa.list_(pa.string())),
-                    pa.array(_lists(*segment.near(terms_of), items.names, count), pa.list_(pa.string())),
+                    pa.array(_lists(*segment.near(chosen), items.names, count), pa.list_(pa.string())),
                 ],
                 ["doc_id", "row_key", "n_words", "hit_at", "items", "near"],
             )
@@ -236,9 +258,11 @@ def find_test_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     context, found, passes = docs.sparkSession.sparkContext, None, 0
     for items in _passes(benchmark):
         # Plain values: a broadcast is unpickled without this package.
-        shared = context.broadcast((items.names, items.vocabulary, items.terms, items.first))
         index = build_index(rows, items.vocabulary)
-        matches = index.mapInArrow(lambda batches, shared=shared: _look_up(batches, TestItems(*shared.value)), _RESULT)
+        shared = context.broadcast(((items.names, items.vocabulary, items.terms, items.first), _rarest_terms(index, items)))
+        matches = index.mapInArrow(
+            lambda batches, shared=shared: _look_up(batches, TestItems(*shared.value[0]), shared.value[1]), _RESULT
+        )
         found, passes = (matches if found is None else found.unionByName(matches)), passes + 1
     if passes == 1:
         return found

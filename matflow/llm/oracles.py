@@ -113,3 +113,62 @@ select doc_id, size, text_crc32, 'key' as law, shard,
        row_number() over (partition by shard order by part, doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard
 from placed
 """
+
+_LOWERED = f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES["op5_benchmark_decontamination"] = f"""
+with docs as (select row_number() over () as row_no, doc_id, {_LOWERED} as w from documents),
+items as (select item_id::varchar as item, {_LOWERED} as w from benchmark where item_id is not null),
+phrases as (
+  select distinct item, least(len(w), 13) as size, array_to_string(w[p : p + least(len(w), 13) - 1], ' ') as phrase
+  from (select item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as p from items where len(w) > 0)),
+windows as (
+  select row_no, p, size, array_to_string(w[p : p + size - 1], ' ') as phrase
+  from (select row_no, w, size, unnest(range(1, len(w) - size + 2)) as p
+        from docs, (select distinct size from phrases) where len(w) >= size)),
+found as (select row_no, p, f.size, item from windows w join phrases f on w.phrase = f.phrase and w.size = f.size),
+hits as (select row_no, count(distinct place) as n from (select row_no, unnest(range(p, p + size)) as place from found) group by row_no),
+named as (
+  select row_no, count(*) as n, string_agg(item, ',' order by item) as names
+  from (select distinct row_no, item from found) group by row_no),
+places as (select row_no, unnest(w) as term, unnest(range(1, len(w) + 1)) as place from docs),
+counts as (select term, count(*) as n from places group by term),
+rarest as (
+  select item_no, item, term, row_number() over (partition by item_no order by coalesce(n, 0), term) as rank, coalesce(n, 0) as n
+  from (select item_no, item, unnest(list_distinct(w)) as term from (select row_number() over () as item_no, * from items))
+  left join counts using (term)),
+usable as (select item_no from rarest where rank <= 4 group by item_no having count(*) = 4 and min(n) > 0),
+anchors as (
+  select a.item_no, a.item, p.row_no, p.place from rarest a join usable using (item_no) join places p using (term) where a.rank = 1),
+close_by as (
+  select a.item_no, a.item, a.row_no, a.place from anchors a
+  join rarest o on o.item_no = a.item_no and o.rank between 2 and 4
+  join places p on p.term = o.term and p.row_no = a.row_no and p.place between a.place - 20 and a.place + 20
+  group by all having count(distinct o.term) = 3),
+near as (select row_no, count(distinct item) as n from close_by group by row_no)
+select doc_id, len(w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(n.n, 0)::bigint as n_items,
+       sha256(coalesce(n.names, '')) as items_sha256,
+       coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(w) as contaminated,
+       coalesce(c.n, 0)::bigint as n_near_items
+from docs d left join hits h using (row_no) left join named n using (row_no) left join near c using (row_no)
+"""
+
+ORACLES["op6_substring_dedup"] = """
+with docs as (
+  select row_number() over () as row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+windows as (
+  select row_no, doc_id, p, array_to_string(w[p : p + 12], ' ') as phrase
+  from (select row_no, doc_id, w, unnest(range(1, len(w) - 11)) as p from docs where len(w) >= 13)),
+least_of as (select phrase, min(doc_id) as first_id from windows group by phrase),
+gone as (
+  select distinct row_no, unnest(range(p, p + 13)) as place
+  from windows join least_of using (phrase) where first_id < coalesce(doc_id, 9223372036854775807)),
+words as (select row_no, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from docs),
+kept as (
+  select row_no, string_agg(word, ' ' order by place) as text
+  from words anti join gone using (row_no, place) group by row_no),
+removed as (select row_no, count(*) as n from gone group by row_no)
+select doc_id, len(w)::bigint as n_words, coalesce(r.n, 0)::bigint as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
+from docs left join removed r using (row_no) left join kept k using (row_no)
+"""
