@@ -172,3 +172,99 @@ removed as (select row_no, count(*) as n from gone group by row_no)
 select doc_id, len(w)::bigint as n_words, coalesce(r.n, 0)::bigint as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
 from docs left join removed r using (row_no) left join kept k using (row_no)
 """
+
+
+def _base_counts() -> str:
+    return r"""
+docs as (
+  select row_number() over () as row_no, doc_id, lang, coalesce(text, '') as text, text is null as missing,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+lines as (
+  select row_no, line, count(*) as n from (select row_no, unnest(string_split(text, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by all),
+dup_lines as (select row_no, sum(n - 1)::bigint as n from lines group by row_no),
+triples as (
+  select row_no, p, array_to_string(w[p : p + 2], ' ') as triple
+  from (select row_no, w, unnest(range(1, len(w) - 1)) as p from docs where len(w) >= 3)),
+repeated as (
+  select row_no, count(distinct place) as n from (
+    select row_no, unnest(range(p, p + 3)) as place from triples
+    join (select row_no, triple from triples group by all having count(*) > 1) using (row_no, triple))
+  group by row_no)"""
+
+
+_CLASS = r"""case when c between 'a' and 'z' then 0 when c between 'A' and 'Z' then 1 when c between '0' and '9' then 2
+  when c in (' ', chr(9), chr(11), chr(12), chr(13)) then 3 when c = chr(10) then 4
+  when contains('.,;:?''"()-', c) then 5 when contains('!#*$%&', c) then 6 when contains('|<>', c) then 7
+  when ord(c) < 128 then 8 else 9 end"""
+
+
+def _distance(own: str, reference: str) -> str:
+    """Terms of the divergence in bits, to be added up."""
+    middle = f"(({own} + {reference}) / 2)"
+    part = lambda x: f"case when {x} > 0 then {x} * log2({x} / {middle}) else 0 end"
+    return f"({part(own)} + {part(reference)}) / 2"
+
+
+def _nearest(name: str, own: str, total: str, reference: str) -> str:
+    """(row_no, distance) from the closest language, where ``own`` (row_no, bin, n) counts the bins of a text."""
+    return f"""
+{name}_parts as (
+  select t.row_no, r.lang, {_distance("(coalesce(o.n, 0) / t.n)", "r.share")} as part
+  from {total} t cross join {reference} r left join {own} o on o.row_no = t.row_no and o.lang = r.lang and o.bin = r.bin),
+{name} as (
+  select row_no, min(distance) as distance from (
+    select row_no, lang, sqrt(greatest(sum(part), 0)) as distance from {name}_parts group by all) group by row_no)"""
+
+
+ORACLES["op4_quality_rules"] = rf"""
+with {_base_counts()},
+characters as (
+  select row_no, {_CLASS} as bin, count(*) as n from (select row_no, unnest(string_split(text, '')) as c from docs where text <> '')
+  group by all),
+character_total as (select row_no, sum(n)::double as n from characters group by row_no),
+plain as (
+  select row_no, lang, missing, regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from docs),
+spoken as (select row_no, lang, unnest(w) as word from plain),
+word_total as (select row_no, count(*)::double as n from spoken group by row_no),
+languages as (
+  select lang, count(*)::double as n from spoken where lang is not null group by lang having count(*) >= 1000),
+counted as (select s.lang, word, count(*)::double as n from spoken s join languages using (lang) group by all),
+common as (
+  select lang, word, n from (
+    select *, count(*) over (partition by lang order by n desc range between unbounded preceding and current row) as place
+    from counted) where place <= 50),
+word_reference as (
+  select lang, word as bin, c.n / l.n as share from common c join languages l using (lang)
+  union all
+  select lang, null, (l.n - coalesce(c.n, 0)) / l.n from languages l
+  left join (select lang, sum(n) as n from common group by lang) c using (lang)),
+character_counts as (
+  select lang, bin, sum(characters.n)::double as n from characters join docs using (row_no) join languages using (lang) group by all),
+character_reference as (
+  select lang, bin, coalesce(c.n, 0) / sum(coalesce(c.n, 0)) over (partition by lang) as share
+  from (select lang, unnest(range(10)) as bin from languages) left join character_counts c using (lang, bin)),
+own_words as (
+  select s.row_no, l.lang, c.word as bin, count(*)::double as n
+  from spoken s cross join languages l left join common c on c.lang = l.lang and c.word = s.word group by all),
+own_characters as (select row_no, lang, bin, characters.n::double as n from characters cross join languages),
+{_nearest("character_near", "own_characters", "character_total", "character_reference")},
+word_parts as (
+  select t.row_no, r.lang, {_distance("(coalesce(o.n, 0) / t.n)", "r.share")} as part
+  from word_total t cross join word_reference r
+  left join own_words o on o.row_no = t.row_no and o.lang = r.lang and o.bin is not distinct from r.bin),
+word_near as (
+  select row_no, min(distance) as distance from (
+    select row_no, lang, sqrt(greatest(sum(part), 0)) as distance from word_parts group by all) group by row_no),
+measured as (
+  select doc_id, len(w)::bigint as n_words,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
+         coalesce(l.n, 0)::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words,
+         coalesce(c.distance, 0) as character_distance, coalesce(s.distance, 0) as word_distance
+  from docs left join dup_lines l using (row_no) left join repeated r using (row_no)
+  left join character_near c using (row_no) left join word_near s using (row_no))
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and character_distance <= 0.21 and word_distance <= 0.5 as kept
+from measured
+"""

@@ -168,18 +168,19 @@ class References:
 def fit_references(docs: DataFrame, common: int = COMMON_WORDS) -> References:
     """Histograms over all documents of each language. Documents without text or language do not count.
 
-    Languages of fewer than LEAST_REFERENCE_WORDS words have no reference. What is collected is a few rows for each
+    Words that tie around the last place are all left out, so the order of equals doesn't matter. Languages of fewer
+    than LEAST_REFERENCE_WORDS words have no reference. What is collected is a few rows for each
     language; more than MOST_LANGUAGES of them are an error.
     """
     known = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     counts = known.mapInArrow(_tally, _TALLY).groupBy("lang", "word", "character").agg(F.sum("n").alias("n"))
     words = counts.filter(F.col("word").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = words.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= common).drop("rank")
+    top = words.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= common + 1).drop("rank")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     totals = totals.select("lang", F.lit(None).cast("bigint").alias("word"), F.lit(-1).alias("character"), "n")
     found = top.unionByName(counts.filter(F.col("character").isNotNull())).unionByName(totals)
-    table = found.limit((MOST_LANGUAGES + 1) * (common + CLASSES + 1)).toArrow()
+    table = found.limit((MOST_LANGUAGES + 1) * (common + CLASSES + 2)).toArrow()
     by_lang: dict[str, tuple[dict, np.ndarray, list]] = {}
     for lang, word, character, n in zip(*(table.column(c).to_pylist() for c in ("lang", "word", "character", "n"))):
         of_word, of_class, total = by_lang.setdefault(lang, ({}, np.zeros(CLASSES), [0]))
@@ -194,6 +195,9 @@ def fit_references(docs: DataFrame, common: int = COMMON_WORDS) -> References:
     kept = [by_lang[lang] for lang in sorted(by_lang) if by_lang[lang][2][0] >= LEAST_REFERENCE_WORDS]
     characters, listed, shares = [], [], []
     for of_word, of_class, (total,) in kept:
+        if len(of_word) > common:
+            least = min(of_word.values())
+            of_word = {word: n for word, n in of_word.items() if n > least}
         hashes = np.sort(np.array(list(of_word), np.int64).view(np.uint64))
         n = np.array([of_word[h] for h in hashes.view(np.int64).tolist()], float)
         characters.append(of_class / of_class.sum())
