@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,13 @@ def chain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _GOLDEN + (right ^ (right >> np.uint64(29))))
 
 
+def give_back_memory() -> None:
+    """Hands what this process has freed back to the system; a Python worker serves many tasks after one another."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def byte_set(members: bytes) -> np.ndarray:
     found = np.zeros(256, bool)
     found[list(members)] = True
@@ -68,6 +77,7 @@ def parts(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Itera
     sizes = pc.add(pc.fill_null(pc.binary_length(column), 0), 64)
     for begin, end in ranges(sizes.to_pylist(), limit):
         yield begin, end, text_bytes(column.slice(begin, end - begin))
+    give_back_memory()
 
 
 class Block:

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from matflow.llm.blocks import parts, runs
 
 #: Pre-tokens whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Bytes of text whose new pre-tokens share a queue.
-QUEUE_BYTES = 3 << 20
+QUEUE_BYTES = 2 << 20
 
 # The code points with the property White_Space.
 _SPACES = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]

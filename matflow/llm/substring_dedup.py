@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matflow.llm.blocks import Block, Words, chain, covered, parts, runs, text_bytes, window_hashes
+from matflow.llm.blocks import Block, Words, chain, covered, give_back_memory, parts, runs, text_bytes, window_hashes
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
@@ -164,6 +164,7 @@ _BITS = "__block bigint, __group bigint, n int, bits binary"
 
 
 def _block_leaves(table: pa.Table, frequent: list[np.ndarray], groups: int) -> pa.Table:
+    give_back_memory()
     leaves = _Leaves(table.column("doc_id").combine_chunks(), text_bytes(table.column("text")), frequent, groups)
     block = table.column("__block")[0].as_py()
     rows = []
@@ -182,6 +183,7 @@ def _block_leaves(table: pa.Table, frequent: list[np.ndarray], groups: int) -> p
 
 def _group_bits(table: pa.Table) -> pa.Table:
     """For each leaf of a group whether another one of its node is of a document with a smaller id."""
+    give_back_memory()
     blocks, sizes = table.column("__block").to_pylist(), table.column("n").to_pylist()
     windows, ids = [], []
     for n, packed, documents, owners in zip(sizes, *(table.column(c).to_pylist() for c in ("windows", "documents", "owners"))):
@@ -217,6 +219,7 @@ def _kept_words(words: Words, repeated: np.ndarray) -> list[bytes]:
 
 
 def _block_result(docs: pa.Table, bits: pa.Table, frequent: list[np.ndarray], groups: int, kinds: pa.Schema) -> pa.Table:
+    give_back_memory()
     if not docs.num_rows:
         return kinds.empty_table()
     leaves = _Leaves(docs.column("doc_id").combine_chunks(), text_bytes(docs.column("text")), frequent, groups)
