@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -66,11 +66,9 @@ def forecasts_in_reach(forecast: DataFrame, runs: DataFrame) -> DataFrame:
     first, last = runs.agg(F.min("as_of"), F.max("as_of")).first()
     if first is None:
         return forecast.limit(0)
-    low, high = (F.trunc(F.add_months(F.lit(day).cast("date"), -1), "MM") for day in (first, last))
-    # Folded to dates here, so that the scan gets plain bounds.
-    low, end = runs.sparkSession.range(1).select(low, F.add_months(high, 1)).first()
+    month_before = (first.replace(day=1) - timedelta(days=1)).replace(day=1)
     day = F.col("snapshot_date")
-    return forecast.filter((day >= F.lit(low)) & (day < F.lit(end)))
+    return forecast.filter((day >= F.lit(month_before)) & (day < F.lit(last.replace(day=1))))
 
 
 def choose_snapshots(runs: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _files(spark: SparkSession, folder: str):
@@ -52,9 +53,13 @@ def publish(
             system.delete(path, True)
 
 
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A published table; a filter on ``as_of`` reads only those run dates."""
-    return spark.read.parquet(f"{root}/{table}").withColumn("as_of", F.col("as_of").cast("date"))
+def read_published(spark: SparkSession, root: str, table: str, schema: StructType | None = None) -> DataFrame:
+    """A published table; a filter on ``as_of`` reads only those run dates.
+
+    A table that never had a row has no file to tell its columns and needs ``schema``.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/{table}").withColumn("as_of", F.col("as_of").cast("date"))
 
 
 def publish_tables(

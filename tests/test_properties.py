@@ -97,7 +97,10 @@ def test_all_weeks_equal_the_single_weeks(spark, tmp_path):
     """One job over all run dates gives what one run per date gives."""
     inputs = weekly_inputs(spark, SF_DIR)
     together = plans.weekly_tables(inputs)
-    weeks = [r.as_of for r in inputs.runs.orderBy("as_of").collect()][40:360:160]
+    gaps = {r.as_of for r in together["forecast_gaps"].collect()}
+    assert gaps
+    complete = [r.as_of for r in inputs.runs.orderBy("as_of").collect() if r.as_of not in gaps]
+    weeks = [complete[len(complete) // 3], complete[len(complete) * 2 // 3]]
     lots, campus = inputs.lots, inputs.campus
 
     def week(df, as_of):
@@ -136,9 +139,10 @@ def test_publishing_again_changes_nothing(spark, tmp_path):
     late = inputs.only(*weeks[-8:])
     root = str(tmp_path)
     plans.publish_weekly(late, root)
-    first = {n: src.read_published(spark, root, n).count() for n in plans.weekly_tables(late)}
+    kinds = {n: df.schema for n, df in plans.weekly_tables(late).items()}
+    first = {n: src.read_published(spark, root, n, kind).count() for n, kind in kinds.items()}
     plans.publish_weekly(late, root)
-    again = {n: src.read_published(spark, root, n).count() for n in first}
+    again = {n: src.read_published(spark, root, n, kinds[n]).count() for n in first}
     assert first == again and all(n for name, n in first.items() if name != "forecast_gaps")
     rm = src.read_published(spark, root, "rm_inventory")
     assert bag(rm) == bag(plans.weekly_tables(late)["rm_inventory"].select(rm.columns))
