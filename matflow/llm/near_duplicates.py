@@ -9,8 +9,8 @@ coordinates.
 
 Texts that agree in a band of coordinates become candidates: each one with the leader of its bucket, so a bucket of
 any size yields fewer edges than it has rows. Leaders are drawn anew for each band and each round. Candidates are
-checked on the exact similarity, and rounds go on with the buckets that are not yet of one group, until one links
-nothing new.
+checked on the exact similarity, and rounds go on with the buckets that are not yet of one group. What the rounds
+leave open is then compared whole: every pair of a bucket whose groups still differ, in blocks against blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import Block, Words, chain, mix, parts, runs, slices, text_bytes, window_hashes
+from matflow.llm.blocks import Block, Words, chain, give_back_memory, mix, parts, runs, slices, text_bytes, window_hashes
 from matflow.llm.components import connected_components
 from matflow.llm.storage import stored
 
@@ -35,8 +35,12 @@ COORDINATES = BANDS * ROWS
 DARTS = int(COORDINATES * (np.log(COORDINATES) + 4))
 #: A pair at 0.8 has a lower estimate once in 200,000 times (4.4 standard deviations).
 LEAST_ESTIMATE = 0.66
-#: Rounds of leaders. Where very many texts are about as similar as a link needs, the last rounds find few new links.
+#: Rounds of leaders, which close most buckets; they only save work for the comparison of all pairs that follows.
 MOST_ROUNDS = 4
+#: Open buckets of up to so many texts are compared as rows of pairs, larger ones in blocks.
+PAIRED = 16
+#: Cells and texts of a block: two of them are what one task compares at a time.
+BLOCK_CELLS, BLOCK_TEXTS = 400_000, 2048
 PAIR = ("a", "b", "a_component", "b_component")
 
 _SIGNATURE = "weight int, bands array<bigint>, sketch binary"
@@ -221,17 +225,121 @@ def _with_both(edges: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return edges.join(left, "a").join(right, "b")
 
 
+def _checked(
+    edges: DataFrame, tried: DataFrame | None, reps: DataFrame, texts: DataFrame, similarity: float
+) -> tuple[DataFrame, DataFrame]:
+    """The edges not tried before whose estimate is likely, and those of them that are links."""
+    if tried is not None:
+        edges = edges.join(tried, ["a", "b"], "left_anti")
+    estimated = _with_both(edges, reps, "sketch").select(*PAIR, _estimate("left", "right").alias("estimate"))
+    likely = stored(estimated.filter(F.col("estimate") >= LEAST_ESTIMATE), "candidates")
+    exact = _with_both(likely, texts, "text").select(*PAIR, _similarity("left", "right").alias("similarity"))
+    return likely, stored(exact.filter(F.col("similarity") >= similarity), "links")
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """(a, b) with a < b: all members of a bucket whose components differ, and these components."""
+    left = members.select("bucket", F.col("id").alias("a"), F.col("component").alias("a_component"))
+    right = members.select("bucket", F.col("id").alias("b"), F.col("component").alias("b_component"))
+    different = (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
+    return left.join(right, "bucket").filter(different).select(*PAIR).distinct()
+
+
+def _block_links(table: pa.Table, similarity: float) -> pa.Table:
+    """(a_component, b_component) of links between two blocks, or in one: enough of them to join what is linked."""
+    give_back_memory()
+    block, component = table.column("block").to_numpy(), table.column("component").to_numpy()
+    cells, text = _cells(text_bytes(table.column("text")))
+    weight = np.bincount(text, minlength=len(block))
+    bound = np.concatenate([np.zeros(1, np.int64), np.cumsum(weight)])
+    _, cells = np.unique(cells, return_inverse=True)
+    first = np.flatnonzero(block == block.min())
+    # Without a second block all texts of the first one meet each other.
+    second = np.flatnonzero(block != block.min()) if block.min() != block.max() else first
+    alone = second is first and table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
+    members = np.concatenate([np.arange(bound[at], bound[at + 1]) for at in second])
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(weight[second])])
+    members, marked = cells[members], np.zeros(len(cells) and cells.max() + 1, np.int32)
+    joined = {int(name): int(name) for name in np.unique(component)}
+
+    def root(name: int) -> int:
+        while joined[name] != name:
+            joined[name] = name = joined[joined[name]]
+        return name
+
+    found: list[tuple[int, int]] = []
+    for at in () if alone else first:
+        own = cells[bound[at] : bound[at + 1]]
+        marked[own] = 1
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(marked[members])])
+        marked[own] = 0
+        shared = total[ends[1:]] - total[ends[:-1]]
+        similar = shared / np.maximum(weight[at] + weight[second] - shared, 1) >= similarity
+        for other in np.unique(component[second[similar]]).tolist():
+            here, there = root(int(component[at])), root(other)
+            if here != there:
+                joined[here] = there
+                found.append((int(component[at]), other))
+    return pa.table([pa.array([x[n] for x in found], pa.int64()) for n in (0, 1)], ["a_component", "b_component"])
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """(bucket, lo, hi, block, id, component): members of each bucket in blocks, for every two blocks that meet.
+
+    Members of a bucket's largest component have blocks of their own, which meet those of the other members but not
+    each other.
+    """
+    each = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("cells"))
+    part = F.struct("n", "component", "cells")
+    split = each.groupBy("bucket").agg(F.max(part).alias("main"), F.sum("n").alias("n"), F.sum("cells").alias("cells"))
+    count = lambda n, cells: F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(cells / BLOCK_CELLS), F.lit(1))
+    split = split.select(
+        "bucket",
+        F.col("main.component").alias("main"),
+        count(F.col("main.n"), F.col("main.cells")).alias("mains"),
+        count(F.col("n") - F.col("main.n"), F.col("cells") - F.col("main.cells")).alias("others"),
+    )
+    draw, is_main = F.xxhash64("id", "bucket"), F.col("component") == F.col("main")
+    own = F.when(is_main, F.col("others") + F.pmod(draw, "mains")).otherwise(F.pmod(draw, "others"))
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    dealt = members.join(split, "bucket").select("bucket", "id", "component", own.alias("block"), last.alias("last"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")))
+    return met.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "component")
+
+
+def _open_links(
+    shared: DataFrame, components: DataFrame | None, tried: DataFrame | None, reps: DataFrame, texts: DataFrame, similarity: float
+) -> DataFrame:
+    """(a_component, b_component): links among all pairs of a bucket whose components differ after the leader rounds.
+
+    Buckets of two members are left out: a round other than the first has compared their only pair.
+    """
+    labelled = _label(shared, "id", components, "component")
+    size = labelled.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("component") != F.max("component")).alias("open")
+    )
+    still = size.filter("open AND n > 2").select("bucket", "n")
+    members = stored(labelled.join(still, "bucket"), "open")
+    _, links = _checked(_pairs(members.filter(F.col("n") <= PAIRED)), tried, reps, texts, similarity)
+    blocks = _blocks(members.filter(F.col("n") > PAIRED)).join(texts, "id")
+    compared = blocks.groupBy("bucket", "lo", "hi").applyInArrow(
+        lambda table: _block_links(table, similarity), "a_component bigint, b_component bigint"
+    )
+    return stored(links.select("a_component", "b_component").union(compared).distinct(), "links")
+
+
 def near_duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(key, group) of every different text with words: texts linked by chains of similar pairs share a group.
 
     ``key`` is that of ``text_key``. Pairs of a similarity of at least ``similarity`` (weighted Jaccard of their
-    shingles) are links. A pair at 0.8 shares no band once in 300,000 pairs and is then not seen.
+    shingles) are links. A pair at 0.8 shares no band once in 300,000 pairs, or has too low an estimate once in
+    200,000, and is then not seen; all others are.
     """
     keyed = docs.select("text", text_key().alias("key"))
     signed = keyed.select("key", signature().alias("s")).filter("s.weight > 0")
-    reps = signed.select("key", "s.bands", "s.sketch").dropDuplicates(["key"])
+    reps = signed.select("key", "s.weight", "s.bands", "s.sketch").dropDuplicates(["key"])
     reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "signatures")
-    buckets = reps.select("id", F.explode("bands").alias("bucket"))
+    buckets = reps.select("id", "weight", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     shared = stored(buckets.join(crowded, "bucket", "left_semi"), "buckets")
     met = reps.join(shared.select("id").distinct(), "id", "left_semi").select("id", "key")
@@ -239,16 +347,14 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> Da
 
     components, tried = None, None
     for number in range(MOST_ROUNDS):
-        edges = _candidates(shared, components, number)
-        if tried is not None:
-            edges = edges.join(tried, ["a", "b"], "left_anti")
-        estimated = _with_both(edges, reps, "sketch").select(*PAIR, _estimate("left", "right").alias("estimate"))
-        likely = stored(estimated.filter(F.col("estimate") >= LEAST_ESTIMATE), "candidates")
-        exact = _with_both(likely, texts, "text").select(*PAIR, _similarity("left", "right").alias("similarity"))
-        found = stored(exact.filter(F.col("similarity") >= similarity), "links")
-        if found.isEmpty():
-            break
+        likely, found = _checked(_candidates(shared, components, number), tried, reps, texts, similarity)
         tried = likely.select("a", "b") if tried is None else tried.union(likely.select("a", "b"))
+        if not found.isEmpty():
+            components = _merged(components, found)
+        elif number:
+            break
+    found = _open_links(shared, components, tried, reps, texts, similarity)
+    if not found.isEmpty():
         components = _merged(components, found)
     return _label(reps.select("key", "id"), "id", components, "group").select("key", "group")
 

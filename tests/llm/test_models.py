@@ -150,6 +150,25 @@ def test_large_group_of_near_copies(spark):
     assert all(r["class_id"] == r["doc_id"] for r in got if r["doc_id"] >= 1000)
 
 
+@pytest.mark.parametrize("sizes", [(16, 2048), (2, 40), (1000, 2048)])
+def test_versions_that_only_resemble_their_original(spark, monkeypatch, sizes):
+    monkeypatch.setattr(near_duplicates, "PAIRED", sizes[0])
+    monkeypatch.setattr(near_duplicates, "BLOCK_TEXTS", sizes[1])
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 301):
+        words = list(base)
+        for part in range(4):
+            words[50 * part + 5 + rng.integers(40)] = f"x{i}_{part}"
+        rows.append((i, " ".join(words)))
+    texts = [text.encode() for _, text in rows]
+    assert 0.8 <= near_duplicates.similarities(texts[:1] * 300, texts[1:]).min() <= 0.85
+    assert np.median(near_duplicates.similarities(texts[1:-1], texts[2:])) < 0.7
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter(r["class_id"] for r in got) == {0: 301}
+
+
 def test_one_of_each_stays(odd_documents):
     got = near_duplicates.keep_one_of_each(odd_documents)
     assert got.columns == odd_documents.columns
