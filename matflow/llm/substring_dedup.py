@@ -7,7 +7,7 @@ task. The edges of a subtree are compressed down to the depth of a window (13 wo
 Its internal nodes at that depth are the windows that occur more than once; their leaves, joined where they follow
 one another, are the maximal repeats.
 
-Documents are dealt into blocks by a hash. A block sends of each different window one leaf, the one of the least
+Documents are dealt into blocks by a hash; rows equal in id and text go there once. A block sends of each different window one leaf, the one of the least
 document, so a window that half of all documents share gives a group one leaf a block. A group answers with one bit
 a leaf: whether the window occurs in a document with a smaller id. With these bits each block marks its own words.
 """
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matflow.llm.blocks import Block, Words, chain, covered, give_back_memory, parts, runs, text_bytes, window_hashes
+from matflow.llm.storage import stored
 
 WINDOW = 13
 PREFIXES = (1, 2, 4, 8)
@@ -243,6 +244,24 @@ def _block_result(docs: pa.Table, bits: pa.Table, frequent: list[np.ndarray], gr
     return pa.table([found[f.name] if f.name in found else rows.column(f.name) for f in kinds], kinds)
 
 
+def _dealt(rows: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with their __block, where rows equal in id and text are one row; (__row, carried) of all such rows, if any.
+
+    The equal rows are found by 128 bits of their id and text, and counted before they are brought together.
+    """
+    name = F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
+    rows = rows.withColumn("__row", F.unhex(F.md5(name.cast("binary"))))
+    repeated = stored(rows.groupBy("__row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__row"), "repeated")
+    again = None
+    if not repeated.isEmpty():
+        many = rows.join(repeated, "__row")
+        again = stored(many.select("__row", "carried"), "rows")
+        one = many.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "__row").distinct()
+        one = one.withColumn("carried", F.lit(None).cast(rows.schema["carried"].dataType))
+        rows = rows.join(repeated, "__row", "left_anti").unionByName(one)
+    return rows.withColumn("__block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))), again
+
+
 def remove_repeats(docs: DataFrame, carry: Column | None = None, kept_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document, with ``carry`` and ``kept_text`` if asked for.
 
@@ -256,21 +275,23 @@ def remove_repeats(docs: DataFrame, carry: Column | None = None, kept_text: bool
     groups = max(1, -(-size // (BYTES_A_WORD * GROUP_SUFFIXES)))
     blocks = max(1, -(-size // BLOCK_TEXT))
     frequent = _frequent_prefixes(docs, groups)
-    dealt = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        text,
-        (carry if carry is not None else F.lit(0)).alias("carried"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("__block"),
-    ).repartition("__block")
+    carried = (carry if carry is not None else F.lit(0)).alias("carried")
+    dealt, again = _dealt(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text, carried), blocks)
+    dealt = dealt.repartition("__block")
     leaves = dealt.groupBy("__block").applyInArrow(lambda table: _block_leaves(table, frequent, groups), _LEAVES)
     bits = leaves.groupBy("__group").applyInArrow(_group_bits, _BITS)
     digests = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    result = T.StructType.fromDDL(digests + (", kept_text string" if kept_text else "")).add("carried", dealt.schema["carried"].dataType)
+    result = T.StructType.fromDDL(digests + (", kept_text string" if kept_text else ""))
+    result = result.add("carried", dealt.schema["carried"].dataType).add("__row", T.BinaryType())
     kinds = _arrow_schema(docs, result)
     found = dealt.groupBy("__block").cogroup(bits.groupBy("__block")).applyInArrow(
         lambda rows, answers: _block_result(rows, answers, frequent, groups, kinds), result
     )
-    return found if carry is not None else found.drop("carried")
+    if again is not None:
+        each = again.select("__row", F.col("carried").alias("__own"), F.lit(True).alias("__again"))
+        own = F.when(F.col("__again"), F.col("__own")).otherwise(F.col("carried"))
+        found = found.join(each, "__row", "left").withColumn("carried", own).drop("__own", "__again")
+    return found.drop("__row") if carry is not None else found.drop("__row", "carried")
 
 
 def _arrow_schema(docs: DataFrame, schema: T.StructType) -> pa.Schema:

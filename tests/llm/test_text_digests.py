@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from matflow.llm import bpe, decontamination, quality_rules, substring_dedup
 from matflow.llm.queries import VOCABULARY_FILE
@@ -113,6 +114,20 @@ def test_a_passage_that_half_of_the_documents_share(spark):
     assert sum(n * (r[2] >= 60) for r, n in got.items()) == 199
 
 
+def test_a_row_that_fills_half_of_the_table(spark):
+    text = " ".join(f"p{i}" for i in range(40))
+    rows = [(None, text, n) for n in range(300)] + [(7, text, n) for n in range(3)] + [(None, None, 0), (None, "", 1)]
+    rows += [(i, f"own{i} " * 9 + text, 0) for i in range(5, 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    got = Counter(map(tuple, substring_dedup.remove_repeats(df).collect()))
+    assert got == removed_by_hand(rows_of(df))
+    dealt, _ = substring_dedup._dealt(df.select("doc_id", "text", F.col("n").alias("carried")), 4)
+    assert dealt.count() == 7  # what all blocks together hold
+    own = [(i, t + " " + "x y z " * 9, n) for i, t, n in rows if t]
+    kept = substring_dedup.rewrite_documents(spark.createDataFrame(own[:303], df.schema))
+    assert Counter((r["doc_id"], r["n"]) for r in kept.collect()) == Counter((7, n) for n in range(3))
+
+
 def test_rewritten_documents_keep_their_columns(odd_documents):
     got = substring_dedup.rewrite_documents(odd_documents)
     assert got.columns == odd_documents.columns
