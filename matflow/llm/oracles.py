@@ -268,3 +268,14 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
        not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and character_distance <= 0.21 and word_distance <= 0.5 as kept
 from measured
 """
+
+ORACLES["op12_exact_dedup"] = r"""
+with texts as (
+  select doc_id, length(coalesce(text, '')) as points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256 from documents),
+ranked as (
+  select doc_id, text_sha256, first_value(doc_id) over best as keep_id, row_number() over best as place,
+         count(*) over (partition by text_sha256) as group_size
+  from texts window best as (partition by text_sha256 order by points desc, doc_id nulls last))
+select doc_id, keep_id, group_size::bigint as group_size, place = 1 as kept, text_sha256 from ranked
+"""

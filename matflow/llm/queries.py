@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matflow.llm import bpe
 from matflow.llm.decontamination import contamination
+from matflow.llm.exact_dedup import exact_duplicates
 from matflow.llm.language_id import identify_languages
 from matflow.llm.license_scan import license_report
 from matflow.llm.license_texts import TEMPLATES
@@ -91,3 +92,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY_FILE))
     return bpe.tokenize(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"]).drop("ids")
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
