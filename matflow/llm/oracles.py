@@ -279,3 +279,42 @@ ranked as (
   from texts window best as (partition by text_sha256 order by points desc, doc_id nulls last))
 select doc_id, keep_id, group_size::bigint as group_size, place = 1 as kept, text_sha256 from ranked
 """
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    nearest = lambda n: f"""
+near{n} as materialized (
+  select row_no, part, min((p.square - 2 * list_inner_product(p.piece, c.piece) + c.square)::bigint * 256 + c.entry) as best
+  from pieces p join book{n} c using (part) group by row_no, part)"""
+    improved = lambda n: f"""
+moved{n} as (
+  select part, entry, list(mean order by pos) as piece from (
+    select part, entry, pos, (total - ((total % n + n) % n)) // n as mean from (
+      select part, best % 256 as entry, pos, sum(piece[pos]::bigint)::bigint as total, count(*) as n
+      from near{n} join pieces using (row_no, part), (select unnest(range(1, (select width + 1 from size))) as pos) group by all))
+  group by part, entry),
+book{n + 1} as materialized (
+  select part, entry, coalesce(m.piece, b.piece)::double[] as piece, list_inner_product(coalesce(m.piece, b.piece)::double[], coalesce(m.piece, b.piece)::double[]) as square
+  from book{n} b left join moved{n} m using (part, entry))"""
+    steps = ",".join(nearest(n) + "," + improved(n) for n in range(rounds)) + "," + nearest(rounds)
+    return f"""
+with kept as materialized (
+  select row_number() over (order by vec_id nulls last, v) - 1 as row_no, vec_id, label, v from (
+    select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 1024)) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)),
+size as (select (max(len(v)) // 4)::bigint as width from kept),
+pieces as materialized (
+  select row_no, part, piece, list_inner_product(piece, piece) as square from (
+    select row_no, part, v[part * width + 1 : part * width + width] as piece from kept, size, range(4) parts(part))),
+book0 as materialized (select part, row_no as entry, piece, square from pieces where row_no < 256),{steps},
+codes as (
+  select row_no, string_agg(lower(printf('%02x', best % 256)), '' order by part) as code, sum(best // 256)::bigint as error
+  from near{rounds} group by row_no),
+digest as (
+  select sha256(string_agg(array_to_string(piece::bigint[], ','), ',' order by part, entry)) as codebooks_sha256 from book{rounds})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from codes join kept using (row_no), digest
+"""
+
+
+ORACLES["op11_vector_codes"] = _vector_codes()

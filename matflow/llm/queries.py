@@ -19,6 +19,7 @@ from matflow.llm.quality_rules import apply_rules
 from matflow.llm.sharding import shard_documents
 from matflow.llm.substring_dedup import remove_repeats
 from matflow.llm.url_filter import ALLOW, BLOCK, Rule, judge_pages
+from matflow.llm.vector_codes import compress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,6 +95,11 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenize(_table(spark, sf_dir, "documents"), vocabulary, ["doc_id"]).drop("ids")
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
