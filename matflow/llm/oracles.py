@@ -318,3 +318,38 @@ from codes join kept using (row_no), digest
 
 
 ORACLES["op11_vector_codes"] = _vector_codes()
+
+ORACLES["op13_conversation_trie"] = f"""
+with crc as (select {_crc_table()} as entry),
+turns as (
+  select conv_id, turn, sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as turn_key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as words
+  from conversations where conv_id is not null),
+placed as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, turn_key) as d,
+         dense_rank() over (order by turn_key) as id, words from turns),
+convs as (
+  select conv_id, count(*) as n, conv_id - conv_id % 20 as base, xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(conv_id::varchar)), '..'), lambda x: ('0x' || x)::bigint)),
+    lambda c, b: xor(c >> 8, any_value(entry)[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 4 as h
+  from turns, crc group by conv_id),
+rebuilt as (
+  select c.conv_id, p.d, p.id, p.words from convs c join placed p on p.conv_id = c.base and p.d <= c.h
+  union all
+  select c.conv_id, least(c.h, coalesce(b.n, 0)) + p.d - c.h, p.id, p.words
+  from convs c left join convs b on b.conv_id = c.base join placed p on p.conv_id = c.conv_id and p.d > c.h),
+paths as materialized (
+  select conv_id, d, list(id) over (partition by conv_id order by d) as path, words from rebuilt
+  union all select conv_id, 0, [], 0 from convs),
+whole as (select conv_id, max_by(path, d) as path from paths group by conv_id),
+finished as (select path, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256 from whole group by path),
+nodes as materialized (select path, d, min(conv_id) as conv_id, count(*) as n, max(words) as words from paths group by path, d),
+parents as (select path[1:d - 1] as path, count(*) as n_children from nodes where d > 0 group by all),
+own as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join parents using (path)),
+sums as (
+  select path[1:k] as path, sum((n_children = 0)::bigint) as n_leaves, sum((n - 1) * words) as saved_tokens
+  from (select path, n, words, n_children, unnest(range(d + 1)) as k from own) group by all)
+select o.conv_id, o.d::bigint as depth, p.conv_id as parent_conv_id, o.n::bigint as n_convs, o.n_children::bigint as n_children,
+       s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, coalesce(f.ends_sha256, sha256('')) as ends_sha256
+from own o join sums s using (path) left join finished f using (path) left join nodes p on o.d > 0 and p.path = o.path[1:o.d - 1]
+"""

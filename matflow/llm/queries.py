@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matflow.llm import bpe
+from matflow.llm.conversation_trie import conversation_trie
 from matflow.llm.decontamination import contamination
 from matflow.llm.exact_dedup import exact_duplicates
 from matflow.llm.language_id import identify_languages
@@ -103,3 +104,8 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
