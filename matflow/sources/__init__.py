@@ -3,10 +3,12 @@ from matflow.sources.published import publish, publish_tables, read_published, r
 from matflow.sources.records import as_of_from_path, read_numbered_lines, read_record_lines
 from matflow.sources.schemas import SOURCES, TABLES, enforce
 from matflow.sources.snapshots import select_snapshot
+from matflow.sources.workbooks import WorkbookSource, read_workbooks, write_workbooks
 
 __all__ = [
     "SOURCES",
     "TABLES",
+    "WorkbookSource",
     "as_of_from_path",
     "drop_leading_rows",
     "enforce",
@@ -19,5 +21,7 @@ __all__ = [
     "read_published",
     "read_record_lines",
     "read_tables",
+    "read_workbooks",
     "select_snapshot",
+    "write_workbooks",
 ]

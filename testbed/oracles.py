@@ -329,6 +329,9 @@ ORACLES: dict[str, str] = {
     "drop_leading_rows": """select p_partkey + 5 as row_no, b_p as c1, item_number as c2, mpf_or_line as c3
   from fx_exception join part on item_number = cast(p_partkey as varchar)""",
     "named_sheet_source": "select * exclude (sheet) from fx_lot where sheet = 'RM'",
+    "workbook_source": "select * exclude (sheet) from fx_lot where sheet = 'RM'",
+    "workbook_sink": """select 'po' as "table", * exclude (po_no), po_no as number from po
+  union all by name select 'receipt' as "table", * exclude (receipt_no), receipt_no as number from receipt""",
     "promote_header_per_run": "select * exclude (sheet) from fx_lot where sheet = 'RM'",
     "snapshot_select": """select as_of, snapshot_date from fx_runs left join (
   select date_trunc('month', snapshot_date) as taken, min(snapshot_date) as snapshot_date from fx_snapshots group by 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matflow import functions as fn
@@ -61,6 +61,37 @@ def named_sheet_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.named_sheet(fx.fx_lot(spark, sf_dir), "RM")
 
 
+def _week_name() -> Column:
+    return F.date_format("as_of", "MM.dd.yyyy")
+
+
+@query
+def workbook_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lot report as a workbook a week with two sheets; the RM sheets are read back, with header and run date."""
+    folder = scratch_folder(spark)
+    lots = fx.fx_lot(spark, sf_dir)
+    sheets = {name: src.named_sheet(lots, name) for name in ("RM", "FG")}
+    src.write_workbooks(sheets, folder, _week_name(), leave_out=["as_of"])
+    grid = src.read_workbooks(spark, folder, len(fx.LOT_COLUMNS), "RM")
+    dated = grid.select(src.as_of_from_path(F.col("file")).alias("as_of"), *grid.columns[2:])
+    heads = dated.select("as_of", F.lit(1).alias("header_row")).distinct()
+    return src.promote_header_per_run(dated, heads)
+
+
+@query
+def workbook_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and receipts as two named sheets of one workbook, of several files where they are long; read back."""
+    folder = scratch_folder(spark)
+    tables = {"RM PO Data": open_po(spark, sf_dir), "RM Receipt Data": receipts(spark, sf_dir)}
+    src.write_workbooks(tables, folder, F.lit("po, receipt 01.09.2024"), rows=20_000)
+    parts = []
+    for (sheet, df), table, number in zip(tables.items(), ("po", "receipt"), ("po_no", "receipt_no")):
+        grid = src.read_workbooks(spark, folder, len(df.columns), sheet).drop("file", "sheet")
+        read = src.promote_header(grid, 1).select(*(F.col(f.name).cast(f.dataType) for f in df.schema))
+        parts.append(read.select(F.lit(table).alias("table"), *df.columns[:-1], F.col(number).alias("number")))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def promote_header_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = src.named_sheet(fx.lot_grid(spark, sf_dir), "RM")
