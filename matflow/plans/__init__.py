@@ -6,6 +6,7 @@ from matflow.plans.forecast import (
     forecast_wide_all,
     poisoned_groups,
 )
+from matflow.plans.incremental import landed_inputs, publish_new_runs, publish_new_weeks
 from matflow.plans.inventory import (
     fg_inventory_balance,
     fg_inventory_lot,
@@ -32,8 +33,11 @@ __all__ = [
     "label_inventory",
     "label_inventory_sites",
     "lag1_lookup",
+    "landed_inputs",
     "open_po",
     "poisoned_groups",
+    "publish_new_runs",
+    "publish_new_weeks",
     "publish_weekly",
     "receipts",
     "rm_inventory",

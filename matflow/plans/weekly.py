@@ -16,13 +16,14 @@ from matflow.plans.forecast import complete_months, forecast_lag1, poisoned_grou
 from matflow.plans.inventory import fg_inventory_lot, rm_inventory
 from matflow.plans.orders import open_po, receipts
 from matflow.sources.grid import named_sheet
+from matflow.sources.manifests import publish_set
 from matflow.sources.published import publish_tables
 from matflow.sources.snapshots import select_snapshot
 
 RUN = ("as_of",)
 
-# Run dates of one job at most (some 190 years of weeks); their snapshots are listed on the driver.
-MOST_RUNS = 10_000
+# Up to so many run dates are listed with their snapshots on the driver, once; more stay a plan.
+LISTED_RUNS = 10_000
 
 # Quantity column that the run summary adds up, by table.
 QUANTITY = {
@@ -72,17 +73,19 @@ def forecasts_in_reach(forecast: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def choose_snapshots(runs: DataFrame, forecast: DataFrame) -> DataFrame:
-    """(as_of, snapshot_date, months_found) of every run date, as a small table that is computed once.
+    """(as_of, snapshot_date, months_found) of every run date; up to ``LISTED_RUNS`` of them are computed once, here.
 
     ``snapshot_date`` is the lag-1 snapshot or NULL, ``months_found`` how many months it has.
     """
     months = snapshot_months(forecast)
     chosen = select_snapshot(runs, months).join(months, "snapshot_date", "left")
-    rows = chosen.select("as_of", "snapshot_date", "months_found").take(MOST_RUNS + 1)
-    if len(rows) > MOST_RUNS:
-        raise ValueError(f"more than {MOST_RUNS} run dates; split the job")
+    chosen = chosen.select("as_of", "snapshot_date", "months_found")
+    rows = chosen.take(LISTED_RUNS + 1)
+    if len(rows) > LISTED_RUNS:
+        return chosen
     schema = "as_of date, snapshot_date date, months_found int"
-    return runs.sparkSession.createDataFrame([tuple(row) for row in rows], schema)
+    # The hint stays with the table through filters and projections.
+    return F.broadcast(runs.sparkSession.createDataFrame([tuple(row) for row in rows], schema))
 
 
 def _complete(months_found: str = "months_found") -> Column:
@@ -105,10 +108,9 @@ def weekly_bom_demand(
     reach = forecasts_in_reach(forecast, runs)
     chosen = choose_snapshots(runs, reach) if chosen is None else chosen
     used = chosen.filter(_complete()).select("snapshot_date").distinct()
-    in_use = reach.join(F.broadcast(used), "snapshot_date", "left_semi")
+    in_use = reach.join(used, "snapshot_date", "left_semi")
     lag1 = forecast_lag1(in_use, by=["snapshot_date"])
-    # At most MOST_RUNS rows.
-    dated = lookup_join(bom, F.broadcast(chosen), RUN, null_safe=False)
+    dated = lookup_join(bom, chosen, RUN, null_safe=False)
     keys = ["as_of", "snapshot_date", "months_found"]
     return bom_demand(dated, lag1, by=["snapshot_date"], keys=keys, known=_complete()).drop("months_found")
 
@@ -118,7 +120,7 @@ def weekly_tables(inputs: WeeklyInputs) -> dict[str, DataFrame]:
     rm, fg = named_sheet(inputs.lots, "RM"), named_sheet(inputs.lots, "FG")
     reach = forecasts_in_reach(inputs.forecast, inputs.runs)
     chosen = choose_snapshots(inputs.runs, reach)
-    used = F.broadcast(chosen.filter(_complete()).select("as_of", "snapshot_date"))
+    used = chosen.filter(_complete()).select("as_of", "snapshot_date")
     return {
         "po": open_po(inputs.po, inputs.campus, by=RUN),
         "receipt": receipts(inputs.receipt, inputs.campus, by=RUN),
@@ -131,10 +133,14 @@ def weekly_tables(inputs: WeeklyInputs) -> dict[str, DataFrame]:
     }
 
 
-def publish_weekly(inputs: WeeklyInputs, root: str) -> None:
-    """Write all tables. The run dates of the inputs are replaced, also where they have no rows; others stay."""
-    days = [row["as_of"] for row in inputs.runs.select("as_of").distinct().take(MOST_RUNS + 1)]
-    publish_tables(weekly_tables(inputs), root, run_dates=days)
+def publish_weekly(inputs: WeeklyInputs, root: str, together: bool = False) -> None:
+    """Write all tables. The run dates of the inputs are replaced, also where they have no rows; others stay.
+
+    ``together`` publishes them as one set (``read_set``): readers see all tables of the new week or none.
+    """
+    days = [row["as_of"] for row in inputs.runs.select("as_of").distinct().collect()]
+    write = publish_set if together else publish_tables
+    write(weekly_tables(inputs), root, run_dates=days)
 
 
 def weekly_summary(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,4 +1,5 @@
 from matflow.sources.grid import drop_leading_rows, named_sheet, promote_header, promote_header_per_run
+from matflow.sources.manifests import drop_unused, publish_set, read_manifest, read_set, read_tables_of_set
 from matflow.sources.published import publish, publish_tables, read_published, read_tables
 from matflow.sources.records import as_of_from_path, read_numbered_lines, read_record_lines
 from matflow.sources.schemas import SOURCES, TABLES, enforce
@@ -11,16 +12,21 @@ __all__ = [
     "WorkbookSource",
     "as_of_from_path",
     "drop_leading_rows",
+    "drop_unused",
     "enforce",
     "named_sheet",
     "promote_header",
     "promote_header_per_run",
     "publish",
+    "publish_set",
     "publish_tables",
+    "read_manifest",
     "read_numbered_lines",
     "read_published",
     "read_record_lines",
+    "read_set",
     "read_tables",
+    "read_tables_of_set",
     "read_workbooks",
     "select_snapshot",
     "write_workbooks",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _files(spark: SparkSession, folder: str):
+def folder_files(spark: SparkSession, folder: str):
     """The Hadoop file system of a folder, its path, and the names of the files in it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -40,7 +40,7 @@ def publish(
     if cluster:
         dated = dated.hint("rebalance", F.col("as_of"))
     folders = [f"{root}/{table}/as_of={day.isoformat()}" for day in run_dates]
-    before = {folder: _files(spark, folder)[2] for folder in folders}
+    before = {folder: folder_files(spark, folder)[2] for folder in folders}
     (
         dated.write.partitionBy("as_of")
         .mode("overwrite")
@@ -48,7 +48,7 @@ def publish(
         .parquet(f"{root}/{table}")
     )
     for folder, old in before.items():
-        system, path, now = _files(spark, folder)
+        system, path, now = folder_files(spark, folder)
         if now & old:  # a date that was written again has new files only
             system.delete(path, True)
 

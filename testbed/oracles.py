@@ -340,6 +340,12 @@ ORACLES: dict[str, str] = {
   union all by name select *, date '2024-01-09' as as_of from po""",
     "multi_table_publish": """select 'po' as "table", *, date '2024-01-09' as as_of from po
   union all by name select 'receipt' as "table", *, date '2024-01-09' as as_of from receipt""",
+    "published_set": """select 'po' as "table", *, date '2024-01-02' as as_of from po_old
+  union all by name select 'po' as "table", *, date '2024-01-09' as as_of from po
+  union all by name select 'receipt' as "table", *, date '2024-01-02' as as_of from receipt
+  union all by name select 'receipt' as "table", *, date '2024-01-09' as as_of from receipt""",
+    "weekly_incremental": """select 'po' as "table", * from po_week
+  union all by name select 'receipt' as "table", * from receipt_week""",
     # projection, renaming, derivation
     "project_drop": "select mfg_ref, dep_m01, dep_m02 from bom",
     "project_positional": "select location, campus_no, item from fx_lot",

@@ -46,7 +46,7 @@ def count(text: str, operator: str) -> int:
 
 
 WRITERS = {"src_delimited_lines", "src_numbered_lines", "snapshot_sink", "multi_table_publish"}
-WRITERS |= {"workbook_source", "workbook_sink"}
+WRITERS |= {"workbook_source", "workbook_sink", "published_set", "weekly_incremental"}
 WRITERS |= {f"weekly_{name}" for name in PUBLISHED}
 
 
