@@ -1,4 +1,4 @@
-from matflow.functions.aggregates import strict_sum
+from matflow.functions.aggregates import exact_total, fraction, strict_sum, whole_part
 from matflow.functions.casts import blank_to_null, code_to_text, tolerant_date, tolerant_double
 from matflow.functions.keys import (
     composite_key,
@@ -23,6 +23,8 @@ __all__ = [
     "code_to_text",
     "composite_key",
     "dash_key",
+    "exact_total",
+    "fraction",
     "has_excluded_prefix",
     "is_castable",
     "is_finished_good",
@@ -38,4 +40,5 @@ __all__ = [
     "strip_leading_zeros",
     "tolerant_date",
     "tolerant_double",
+    "whole_part",
 ]

@@ -11,6 +11,7 @@ from matflow.operators.frames import (
     union_by_name,
 )
 from matflow.operators.grouping import distinct_rows, group_sum_strict
+from matflow.operators.inference import TYPES, cast_columns, merge_masks, type_masks, types_of
 from matflow.operators.lookups import (
     broadcast_if_small,
     duplicate_keys,
@@ -34,7 +35,9 @@ from matflow.operators.reshape import (
 )
 
 __all__ = [
+    "TYPES",
     "broadcast_if_small",
+    "cast_columns",
     "clean_name_list",
     "clean_names",
     "distinct_rows",
@@ -50,6 +53,7 @@ __all__ = [
     "label_items",
     "lookup_join",
     "manufacturer_keys",
+    "merge_masks",
     "month_names",
     "month_positions",
     "ordinal_rename",
@@ -61,6 +65,8 @@ __all__ = [
     "rename_cols",
     "scale_month_vector",
     "semi_join_labels",
+    "type_masks",
+    "types_of",
     "union_by_name",
     "unpivot_hold_status",
 ]

@@ -9,11 +9,11 @@ import re
 import unicodedata
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matflow.functions.casts import DATE_PATTERN, blank_to_null, tolerant_date
+from matflow.operators.inference import cast_columns, type_masks, types_of
 
 
 def project_drop(df: DataFrame, keep: Sequence[str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
@@ -86,47 +86,15 @@ def union_by_name(top: DataFrame, bottom: DataFrame, schema: T.StructType) -> Da
 
 # --- type inference ---------------------------------------------------------------------------
 
-_LOGICAL_VALUES = ("T", "F", "TRUE", "FALSE", "true", "false")
-# A number with a leading zero stays text: it is a code.
-_NUMBER_VALUE = r"^[+-]?((0|[1-9]\d*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-
-
-def _candidates(value: Column) -> dict[str, Column]:
-    """Type name -> 'this value reads as that type', in the order in which types are tried."""
-    return {
-        "boolean": value.isin(*_LOGICAL_VALUES),
-        "double": value.rlike(_NUMBER_VALUE),
-        "date": value.rlike(DATE_PATTERN + "$") & tolerant_date(value).isNotNull(),
-    }
-
 
 def inferred_types(df: DataFrame) -> DataFrame:
-    """(column, type) of every text column, from one pass over the table.
+    """(column, type) of every text column, from one pass over the table; whole numbers count as doubles.
 
     A type fits when every value that is not missing reads as it; 'string' fits always.
     """
-    names = [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
-    verdicts = []
-    for name in names:
-        value = blank_to_null(F.col(f"`{name}`"))
-        verdict = F.lit("string")
-        for type_name, fits in reversed(_candidates(value).items()):
-            present = F.when(value.isNotNull(), fits)
-            verdict = F.when(F.coalesce(F.every(present), F.lit(True)), type_name).otherwise(verdict)
-        verdicts.append(verdict.alias(name))
-    return df.agg(*verdicts).unpivot([], names, "column", "type")
+    return types_of(type_masks(df), integers=False)
 
 
 def infer_types(df: DataFrame) -> DataFrame:
     """Cast the text columns to the types that ``inferred_types`` finds (one row per column is read)."""
-    found = {row["column"]: row["type"] for row in inferred_types(df).collect()}
-
-    def typed(name: str) -> Column:
-        column = F.col(f"`{name}`")
-        if name not in found:
-            return column
-        value = blank_to_null(column)
-        cast = tolerant_date(value) if found[name] == "date" else value.try_cast(found[name])
-        return cast.alias(name)
-
-    return df.select(*(typed(name) for name in df.columns))
+    return cast_columns(df, {row["column"]: row["type"] for row in inferred_types(df).collect()})

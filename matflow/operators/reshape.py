@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matflow.functions.aggregates import exact_total, fraction, whole_part
 from matflow.functions.casts import tolerant_double
 from matflow.functions.nulls import null_propagating_max, null_to_zero
 from matflow.operators.lookups import lookup_join
@@ -63,16 +64,20 @@ def pivot_months(
     if not by:
         positions = F.broadcast(positions)
     placed = lookup_join(df.select(*by, key, month, qty), positions, [*by, month])
-    # A missing quantity counts as NaN, which stays NaN in any sum: one aggregate per month is enough.
-    marked = placed.withColumn("__qty", F.coalesce(qty, F.lit(float("nan"))))
-    sums = [
-        F.sum(F.when(F.col("month_no") == number, F.col("__qty"))).alias(name)
-        for number, name in enumerate(month_names("fcst", take), start=1)
-    ]
-    totals = marked.groupBy(*by, key).agg(*sums)
-    return totals.select(
-        *by, key, *(F.nanvl(null_to_zero(name), F.lit(0.0)).alias(name) for name in month_names("fcst", take))
-    )
+    numbered = enumerate(month_names("fcst", take), start=1)
+    return _month_sums(placed, [*by, key], qty, {n: F.col("month_no") == number for number, n in numbered})
+
+
+def _month_sums(rows: DataFrame, keys: Sequence[str], qty: str, months: Mapping[str, Column]) -> DataFrame:
+    """One exact sum of ``qty`` by key for each named month; 0 without rows or if any of them has no quantity."""
+    # A missing quantity counts as NaN, which stays NaN in any sum.
+    whole = F.coalesce(whole_part(qty), F.lit(float("nan")))
+    marked = rows.withColumns({"__whole": whole, "__fraction": F.coalesce(fraction(qty), F.lit(0).cast("bigint"))})
+    sums = [F.sum(F.when(month, F.col("__whole"))).alias(f"__w{n}") for n, month in enumerate(months.values())]
+    sums += [F.sum(F.when(month, F.col("__fraction"))).alias(f"__f{n}") for n, month in enumerate(months.values())]
+    totals = marked.groupBy(*keys).agg(*sums)
+    named = [null_to_zero(exact_total(f"__w{n}", f"__f{n}")).alias(name) for n, name in enumerate(months)]
+    return totals.select(*keys, *named)
 
 
 def pivot_all_months(df: DataFrame, key: str, month: str, qty: str) -> DataFrame:
@@ -86,11 +91,7 @@ def pivot_all_months(df: DataFrame, key: str, month: str, qty: str) -> DataFrame
     months = [row[0] for row in named.select(month).distinct().orderBy(month).take(limit + 1)]
     if len(months) > limit:
         raise ValueError(f"more than {limit} distinct values in {month}")
-    # As in pivot_months, a missing quantity counts as NaN, so one sum a month and one shuffle are enough.
-    marked = named.withColumn("__qty", F.coalesce(qty, F.lit(float("nan"))))
-    sums = [F.sum(F.when(F.col(month) == m, F.col("__qty"))).alias(f"__{n}") for n, m in enumerate(months)]
-    wide = marked.groupBy(key).agg(*sums)
-    return wide.select(key, *(F.nanvl(null_to_zero(f"__{n}"), F.lit(0.0)).alias(m) for n, m in enumerate(months)))
+    return _month_sums(named, [key], qty, {m: F.col(month) == m for m in months})
 
 
 def unpivot_hold_status(

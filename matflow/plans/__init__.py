@@ -1,3 +1,4 @@
+from matflow.plans import bucketed
 from matflow.plans.bom import bom_demand, lag1_lookup
 from matflow.plans.exceptions import exception_enriched
 from matflow.plans.forecast import (
@@ -23,6 +24,7 @@ from matflow.plans.weekly import WeeklyInputs, publish_weekly, weekly_summary, w
 __all__ = [
     "WeeklyInputs",
     "bom_demand",
+    "bucketed",
     "exception_enriched",
     "fg_inventory_balance",
     "fg_inventory_lot",

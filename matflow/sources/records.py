@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A run date in a path is the last mm.dd.yyyy or mm.dd.yy (also without leading zeros) of a folder or file name, or
@@ -39,3 +39,43 @@ def read_numbered_lines(spark: SparkSession, *paths: str, as_of: Column | None =
     """(line, as_of) of the newer export: a row-number column, the record, and a header row to drop."""
     numbered = spark.read.csv(list(paths), header=True, schema="row_no string, line string", escape='"')
     return numbered.select("line", _run_date(as_of))
+
+
+# --- records that don't have the declared fields ------------------------------------------------
+
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def checked_records(lines: DataFrame, fields: int, sep: str = "~") -> DataFrame:
+    """``lines`` with ``n_fields`` and ``reason``: 'missing', 'short' or 'long', or NULL for a record of ``fields`` fields.
+
+    Reading goes on regardless: a short record has NULLs, a long one loses what it has too much.
+    """
+    count = F.coalesce(F.length("line") - F.length(F.replace("line", F.lit(sep))) + 1, F.lit(0))
+    reason = F.when(F.col("line").isNull(), "missing").when(count < fields, "short").when(count > fields, "long")
+    return lines.withColumns({"n_fields": count, "reason": reason})
+
+
+def publish_checked(lines: DataFrame, folder: str, fields: int, sep: str = "~") -> dict[str, int]:
+    """Write all records to ``folder``, rejected ones apart, and count them: read, accepted, and each reason.
+
+    One pass writes both tables and counts. ``read_checked`` reads either without touching the other's files.
+    """
+    checked = checked_records(lines, fields, sep)
+    reasons = ("missing", "short", "long")
+    seen = Observation()
+    counted = checked.observe(
+        seen,
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(F.col("reason").isNull()).alias("accepted"),
+        *(F.count_if(F.col("reason") == reason).alias(reason) for reason in reasons),
+    )
+    status = F.when(F.col("reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    counted.withColumn("status", status).write.partitionBy("status").mode("overwrite").parquet(folder)
+    return {name: seen.get[name] for name in ("read", "accepted", *reasons)}
+
+
+def read_checked(spark: SparkSession, folder: str, status: str = ACCEPTED) -> DataFrame:
+    """The accepted records, or with ``REJECTED`` the others with ``n_fields`` and ``reason``."""
+    rows = spark.read.parquet(folder).filter(F.col("status") == status).drop("status")
+    return rows.drop("n_fields", "reason") if status == ACCEPTED else rows

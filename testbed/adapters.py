@@ -110,6 +110,46 @@ def fx_po(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(line.alias("line"), week_of("l_shipdate").alias("as_of"))
 
 
+def fx_po_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of ``fx_po``, some with a field too many and some missing altogether."""
+    po = fx_po(spark, sf_dir)
+    number = F.regexp_extract("line", r"^GLB-RP-(\d+)", 1).cast("bigint")
+    line = F.when(number % 13 == 1, F.concat("line", F.lit("~more"))).when(number % 29 != 2, F.col("line"))
+    return po.withColumn("line", line)
+
+
+def fx_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(site, month, amount) of amounts with up to four digits after the point; returned ones are negative."""
+    cents = F.col("l_extendedprice").cast("decimal(14,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    signed = F.when(F.col("l_returnflag") == "R", -cents).otherwise(cents).cast("decimal(20,4)")
+    unknown = (F.col("l_suppkey") % 20 == 7) & (F.col("l_orderkey") % 1000 == 0)
+    return _lines(spark, sf_dir).select(
+        text(F.col("l_suppkey") % 20).alias("site"),
+        text(F.month("l_shipdate")).alias("month"),
+        F.when(~unknown, text(signed)).alias("amount"),
+    )
+
+
+def fx_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns of every type by month; in some months a column is narrower than in others."""
+    order, day = F.col("l_orderkey"), F.col("l_shipdate").cast("date")
+    clock = lambda n: F.lpad(text(n), 2, "0")
+    hours, minutes, seconds = clock(order % 24), clock(order % 60), clock((order * 7) % 60)
+    time = F.concat_ws(":", hours, minutes, seconds)
+    return _lines(spark, sf_dir).select(
+        year_month(day).alias("month"),
+        F.when(F.col("l_linestatus") == "F", "TRUE").otherwise("F").alias("flag"),
+        F.when(order % 5 == 0, " NA ").otherwise(whole("l_quantity")).alias("count"),
+        F.when(F.month(day) == 5, text(F.col("l_discount").cast("decimal(4,2)"))).otherwise(whole("l_quantity")).alias("number"),
+        F.when(order % 3 == 0, F.concat_ws(":", hours, minutes)).otherwise(time).alias("time"),
+        F.when(order % 2 == 0, text(day)).otherwise(F.translate(text(day), "-", "/")).alias("day"),
+        F.when(order % 4 == 0, text(day)).otherwise(F.concat(text(day), F.lit(" "), time)).alias("moment"),
+        F.lpad(text("l_partkey"), 6, "0").alias("code"),
+        F.when(F.year(day) == 2001, "n/a").otherwise(whole("l_quantity")).alias("mixed"),
+        F.when(order % 2 == 0, "").alias("nothing"),
+    )
+
+
 def fx_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = _record(whole("l_quantity"), F.concat(F.lit("R"), text("l_orderkey")))
     lines = _lines(spark, sf_dir).filter(F.col("l_linestatus") == "F")

@@ -73,6 +73,23 @@ INPUTS: dict[str, str] = {
     "fx_receipt": f"""select {head()} || '~' || l_returnflag || '~' || l_linestatus || '~'
       || {whole('l_quantity')} || '~R' || {txt('l_orderkey')} || {TAIL} as line, {WEEK} as as_of
   from lineitem where l_linestatus = 'F'""",
+    "fx_po_mixed": r"""select case when n % 13 = 1 then line || '~more' when n % 29 <> 2 then line end as line, as_of
+  from (select line, as_of, cast(regexp_extract(line, '^GLB-RP-(\d+)', 1) as bigint) as n from fx_po)""",
+    "fx_amounts": """select cast(l_suppkey % 20 as varchar) as site, cast(month(l_shipdate) as varchar) as "month",
+    case when not (l_suppkey % 20 = 7 and l_orderkey % 1000 = 0)
+      then cast(cast(case when l_returnflag = 'R' then -c else c end as decimal(20,4)) as varchar) end as amount
+  from (select *, cast(l_extendedprice as decimal(14,2)) * (1 - cast(l_discount as decimal(4,2))) as c from lineitem)""",
+    "fx_typed": f"""select strftime(l_shipdate, '%Y%m') as "month", case when l_linestatus = 'F' then 'TRUE' else 'F' end as flag,
+    case when l_orderkey % 5 = 0 then ' NA ' else {whole('l_quantity')} end as "count",
+    case when month(l_shipdate) = 5 then cast(cast(l_discount as decimal(4,2)) as varchar) else {whole('l_quantity')} end as number,
+    case when l_orderkey % 3 = 0 then substr(clock, 1, 5) else clock end as "time",
+    case when l_orderkey % 2 = 0 then d else replace(d, '-', '/') end as "day",
+    case when l_orderkey % 4 = 0 then d else d || ' ' || clock end as moment,
+    lpad({txt('l_partkey')}, 6, '0') as code,
+    case when year(l_shipdate) = 2001 then 'n/a' else {whole('l_quantity')} end as mixed,
+    case when l_orderkey % 2 = 0 then '' end as nothing
+  from (select *, strftime(l_shipdate, '%Y-%m-%d') as d, printf('%02d:%02d:%02d', l_orderkey % 24, l_orderkey % 60,
+    (l_orderkey * 7) % 60) as clock from lineitem)""",
     "fx_dsx": f"""select {txt('l_suppkey % 20')} as product_manufacturing_location_code,
     {txt('l_partkey % 200')} || '-ABC' as product_label_sku_code,
     strftime(date '2000-01-01' + to_months(cast(l_orderkey % 14 as integer)), '%Y%m') as forecast_month_year_id,
@@ -125,6 +142,7 @@ INPUTS: dict[str, str] = {
   from lineitem""",
     "fx_snapshots": """select distinct cast(o_orderdate as date)
     - cast(greatest(isodow(o_orderdate) - 5, 0) as integer) as snapshot_date from orders""",
+    "ship_weeks": f"select distinct {WEEK} as as_of from lineitem",
     "fx_runs": "select distinct cast(date_trunc('week', o_orderdate) as date) as as_of from orders",
 }
 
@@ -319,8 +337,35 @@ def type_row(column: str) -> str:
     else 'string' end as "type" from fx_inv_bal"""
 
 
+_TYPED = ("flag", "count", "number", "time", "day", "moment", "code", "mixed", "nothing")
+_DAY_FORM, _CLOCK_FORM = r"\d{4}[-/]\d{1,2}[-/]\d{1,2}", r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?"
+
+
+def type_bits(column: str) -> str:
+    value = clean(f'"{column}"')
+    tests = (
+        f"{value} in ('T', 'F', 'TRUE', 'FALSE', 'true', 'false')",
+        rf"regexp_matches({value}, '^[+-]?(0|[1-9]\d{{0,17}})$')",
+        f"regexp_matches({value}, '{_NUMBER}')",
+        f"regexp_matches({value}, '^{_CLOCK_FORM}$')",
+        f"regexp_matches({value}, '^{_DAY_FORM}$')",
+        f"regexp_matches({value}, '^{_DAY_FORM}([ T]{_CLOCK_FORM}Z?)?$')",
+    )
+    bits = " + ".join(f"case when {test} then {1 << n} else 0 end" for n, test in enumerate(tests))
+    return f"""select "month", '{column}' as "column", bit_and(case when {value} is null then 63 else {bits} end) as mask
+  from fx_typed group by 1"""
+
+
+_TYPE_NAME = " ".join(
+    f"when mask & {1 << n} <> 0 then '{name}'"
+    for n, name in enumerate(("boolean", "integer", "double", "time", "date", "timestamp"))
+)
+
 _WIDE_MONTHS = [f"2000{m:02d}" for m in range(1, 13)] + ["200101", "200102"]
 
+# Every other week has its header two rows further down.
+_LATER = "date_diff('day', date '1970-01-05', as_of) // 7 % 2 = 1"
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "src_delimited_lines": "select line, date '2023-12-12' as as_of from fx_po",
@@ -333,6 +378,17 @@ ORACLES: dict[str, str] = {
     "workbook_sink": """select 'po' as "table", * exclude (po_no), po_no as number from po
   union all by name select 'receipt' as "table", * exclude (receipt_no), receipt_no as number from receipt""",
     "promote_header_per_run": "select * exclude (sheet) from fx_lot where sheet = 'RM'",
+    "header_scores": f"""select as_of, cast(1 as bigint) as row_no, 0 as score from ship_weeks
+  union all select as_of, case when {_LATER} then 5 else 3 end, 6 from ship_weeks
+  union all select {WEEK}, l_orderkey * 8 + l_linenumber + 10, 0 from {LINES_PART}
+    where p_size % 2 = 0 and l_orderkey * 8 + l_linenumber + 10 <= 20""",
+    "promote_header_detected": "select * exclude (sheet) from fx_lot where sheet = 'FG'",
+    "record_rejects": """select * from (select line, as_of, coalesce(len(string_split(line, '~')), 0)::integer as n_fields,
+    case when line is null then 'missing' when len(string_split(line, '~')) < 8 then 'short'
+      when len(string_split(line, '~')) > 8 then 'long' end as reason from fx_po_mixed) where reason is not null""",
+    "record_counts": """select count(*) as "read", count(*) filter (n = 8) as accepted, count(*) filter (n is null) as missing,
+    count(*) filter (n < 8) as short, count(*) filter (n > 8) as long, count(*) filter (n = 8) as held
+  from (select len(string_split(line, '~')) as n from fx_po_mixed)""",
     "snapshot_select": """select as_of, snapshot_date from fx_runs left join (
   select date_trunc('month', snapshot_date) as taken, min(snapshot_date) as snapshot_date from fx_snapshots group by 1)
   on taken = date_trunc('month', as_of) - interval 1 month""",
@@ -360,6 +416,14 @@ ORACLES: dict[str, str] = {
     # casts and type inference
     "tolerant_double": f"select item as value, {num('item')} as number from fx_inv_bal",
     "infer_types": " union all ".join(type_row(c) for c in _TYPE_COLUMNS),
+    "infer_types_by_week": " union all ".join(map(type_bits, _TYPED)),
+    "infer_types_merged": f"""select "column", case {_TYPE_NAME} else 'string' end as "type" from (
+  select "column", bit_and(mask) as mask from ({" union all ".join(map(type_bits, _TYPED))}) group by 1)""",
+    "infer_types_merged_cast": f"""select "month", flag = 'TRUE' as flag, cast({clean('"count"')} as bigint) as "count",
+  cast(number as double) as number, cast(string_split("time", ':')[1] as double) * 3600
+    + cast(string_split("time", ':')[2] as double) * 60 + coalesce(cast(string_split("time", ':')[3] as double), 0) as "time",
+  cast(replace("day", '/', '-') as date) as "day", cast(moment as timestamp) as moment, code, mixed,
+  cast(null as boolean) as nothing from fx_typed""",
     "tolerant_date": """select v as value, try_cast(replace(v, '/', '-') as date) as "date" from (
   select string_split(line, '~')[7] as v from fx_po
   union all select replace(string_split(line, '~')[7], '-', '/') from fx_po)""",
@@ -405,6 +469,13 @@ ORACLES: dict[str, str] = {
     ),
     "group_sum_strict": f"""select location, item, {strict(num('current_inventory_balance'))} as inventory
   from fx_lot group by location, item""",
+    "group_sum_fractional": """select site, case when count(*) = count(amount)
+    then cast(cast(sum(cast(amount as decimal(20,4))) as varchar) as double) end as total from fx_amounts group by site""",
+    "pivot_months_fractional": f"""select site, {', '.join(
+        f"max(case when month_no = {n} then total else 0 end) as fcst_m{n:02d}" for n in range(1, 13))}
+  from (select site, month_no, coalesce(case when count(*) = count(amount)
+      then cast(cast(sum(cast(amount as decimal(20,4))) as varchar) as double) end, 0) as total
+    from (select *, dense_rank() over (order by "month") as month_no from fx_amounts) group by all) group by site""",
     "group_first_sum": f"""select ref, first(location) as location, first(location_nm) as location_nm,
   first(item) as item, first(description) as description, hold_status, {strict('balance')} as current_inventory_balance
   from analysis_keyed group by ref, location, location_nm, item, description, hold_status""",
@@ -447,6 +518,7 @@ ORACLES: dict[str, str] = {
     "fg_inventory_mfg_zero_fill": fg_mfg("coalesce(balance, 0)", "where item <> '''1'"),
     "lag1_lookup": "select ref, round(coalesce(fcst_m01, 0)) as lag1 from fx_bom left join lag1 on ref = mfg_ref",
     "weekly_bom_demand": "select * from bom_week",
+    "bucketed_bom_demand": "select * from bom_week",
     "rm_inventory_from_grid": "select * from rm_week",
     "forecast_gaps": """select as_of, snapshot_date, coalesce(months_found, 0) as months_found from chosen
   where coalesce(months_found, 0) < 14""",

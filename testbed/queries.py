@@ -98,6 +98,37 @@ def promote_header_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.promote_header_per_run(grid, fx.lot_header_rows(spark, sf_dir))
 
 
+@query
+def header_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many declared names each of the first rows of every sheet has."""
+    grid = src.named_sheet(fx.lot_grid(spark, sf_dir), "RM")
+    return src.header_scores(grid, fx.LOT_COLUMNS)
+
+
+@query
+def promote_header_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header of every week is found by the declared names, in whatever row and order it stands."""
+    grid = src.named_sheet(fx.lot_grid(spark, sf_dir), "FG")
+    return src.promote_header_per_run(grid, names=src.SOURCES["lot_inventory"])
+
+
+@query
+def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short and long records with the reason; accepted ones are written in the same pass."""
+    folder = scratch_folder(spark)
+    src.publish_checked(fx.fx_po_mixed(spark, sf_dir), folder, 8)
+    return src.read_checked(spark, folder, src.REJECTED)
+
+
+@query
+def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pass that writes both tables has counted, and what the tables then hold."""
+    folder = scratch_folder(spark)
+    counts = src.publish_checked(fx.fx_po_mixed(spark, sf_dir), folder, 8)
+    held = src.read_checked(spark, folder).agg(F.count(F.lit(1)).alias("held"))
+    return held.select(*(F.lit(n).cast("bigint").alias(name) for name, n in counts.items()), "held")
+
+
 @query
 def snapshot_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.select_snapshot(fx.fx_runs(spark, sf_dir), fx.fx_snapshots(spark, sf_dir))
@@ -227,6 +258,25 @@ def infer_types_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.infer_types(fx.fx_inv_bal(spark, sf_dir))
 
 
+@query
+def infer_types_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the columns of each month's rows can be read as, one set of bits a column."""
+    return op.type_masks(fx.fx_typed(spark, sf_dir), by=["month"])
+
+
+@query
+def infer_types_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types over all months, merged from those of each month."""
+    return op.types_of(op.merge_masks(op.type_masks(fx.fx_typed(spark, sf_dir), by=["month"])))
+
+
+@query
+def infer_types_merged_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = fx.fx_typed(spark, sf_dir)
+    found = op.types_of(op.type_masks(typed.drop("month")))
+    return op.cast_columns(typed, {row["column"]: row["type"] for row in found.collect()})
+
+
 @query
 def tolerant_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = fn.split_fixed("line", ["", "", "", "", "", "", "value", ""])
@@ -391,6 +441,19 @@ def group_sum_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.group_sum_strict(lots, ["location", "item"], balance, "inventory")
 
 
+@query
+def group_sum_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of amounts with up to four digits after the point, negative ones among them, in few large groups."""
+    amounts = fx.fx_amounts(spark, sf_dir)
+    return op.group_sum_strict(amounts, ["site"], fn.tolerant_double("amount"), "total")
+
+
+@query
+def pivot_months_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    amounts = fx.fx_amounts(spark, sf_dir).withColumn("amount", fn.tolerant_double("amount"))
+    return op.pivot_months(amounts, "site", "month", "amount", skip=0)
+
+
 @query
 def group_first_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every descriptive column is also a key, so the first value of a group is the key itself.
@@ -551,6 +614,15 @@ def weekly_bom_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def bucketed_bom_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same demand, from lines and forecasts that lie in buckets of the join's key."""
+    root, buckets = scratch_folder(spark), 8
+    inputs = (fx.fx_bom_week(spark, sf_dir), fx.fx_dsx_snapshots(spark, sf_dir), fx.fx_ship_weeks(spark, sf_dir))
+    plans.bucketed.publish_demand_inputs(*inputs, root, buckets)
+    return plans.bucketed.bucketed_bom_demand(spark, root)
+
+
 def weekly_inputs(spark: SparkSession, sf_dir: str) -> plans.WeeklyInputs:
     return plans.WeeklyInputs(
         runs=fx.fx_ship_weeks(spark, sf_dir),

@@ -47,6 +47,7 @@ def count(text: str, operator: str) -> int:
 
 WRITERS = {"src_delimited_lines", "src_numbered_lines", "snapshot_sink", "multi_table_publish"}
 WRITERS |= {"workbook_source", "workbook_sink", "published_set", "weekly_incremental"}
+WRITERS |= {"record_rejects", "record_counts", "bucketed_bom_demand"}
 WRITERS |= {f"weekly_{name}" for name in PUBLISHED}
 
 
@@ -179,3 +180,26 @@ def test_one_run_reads_one_snapshot(spark, tmp_path):
     scans = re.findall(r"FileScan parquet \[[^\]]*snapshot_date.*", text)
     assert scans and all(re.search(r"PartitionFilters: \[.*>= 2000-02-01.*< 2000-03-01", scan) for scan in scans)
     assert demand.filter("fcst_m01 > 0").count() > 0
+
+
+def test_demand_by_bucket_moves_no_row(spark, conf, tmp_path):
+    conf(autoBroadcastJoinThreshold="-1")
+    inputs = (fx.fx_bom_week(spark, SF_DIR), fx.fx_dsx_snapshots(spark, SF_DIR), fx.fx_ship_weeks(spark, SF_DIR))
+    plans.bucketed.publish_demand_inputs(*inputs, str(tmp_path), 8)
+    text = final_plan(plans.bucketed.bucketed_bom_demand(spark, str(tmp_path)))
+    assert count(text, "SortMergeJoin") >= 1 and "Exchange" not in text
+    assert len(list((tmp_path / "bom_lines").glob("*.parquet"))) <= 8
+
+
+def test_a_hot_bucket_is_joined_by_shuffle(spark, conf, tmp_path):
+    conf(autoBroadcastJoinThreshold="-1")
+    day = F.lit("2024-01-01").cast("date")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = spark.range(0, 3000).select(day.alias("snapshot_date"), key.alias("mfg_ref"), "id")
+    for name, df in (("hot", rows), ("even", rows.filter("mfg_ref <> 'hot'"))):
+        plans.bucketed.write_bucketed(df, f"{tmp_path}/{name}", ["snapshot_date", "mfg_ref"], 16)
+    other = plans.bucketed.read_bucketed(spark, f"{tmp_path}/even")
+    for name, moves in (("hot", True), ("even", False)):
+        joined = plans.bucketed.read_bucketed(spark, f"{tmp_path}/{name}").join(other.drop("id"), ["snapshot_date", "mfg_ref"])
+        assert joined.count() == 2000
+        assert ("Exchange hashpartitioning" in plan(joined)) == moves
