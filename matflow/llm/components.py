@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.storage import cut
+from matflow.llm.storage import stored
 
 #: Rounds after which the search gives up; the number needed grows with the logarithm of a component's diameter.
 MOST_ROUNDS = 60
@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = _pointing_down(edges.select("a", "b"))
     for _ in range(MOST_ROUNDS):
-        edges = cut(_small_star(_large_star(edges)))
+        edges = stored(_small_star(_large_star(edges)), "edges")
         if _settled(edges):
             break
     else:

@@ -7,10 +7,10 @@ that its weight sets, about ``DARTS`` in all, and of each coordinate the earlies
 coordinate with a probability equal to their weighted Jaccard similarity. The cost is cells + darts, not cells x
 coordinates.
 
-Texts that agree in a band of coordinates become candidates: each one with the leader of its bucket, so a bucket of
-any size yields fewer edges than it has rows. Leaders are drawn anew for each band and each round. Candidates are
-checked on the exact similarity, and rounds go on with the buckets that are not yet of one group. What the rounds
-leave open is then compared whole: every pair of a bucket whose groups still differ, in blocks against blocks.
+Texts that agree in a band of coordinates become candidates. First each one meets one leader, the leader of most of
+its buckets, so a round has fewer edges than texts; a few rounds with other leaders join most of what belongs
+together. What they leave open is then compared whole: every pair of a bucket whose groups still differ, in blocks
+against blocks. All candidates are checked on the exact similarity.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matflow.llm.blocks import Block, Words, chain, give_back_memory, mix, parts, runs, slices, text_bytes, window_hashes
@@ -33,17 +33,17 @@ ROWS = 5
 COORDINATES = BANDS * ROWS
 #: Expected darts of a text: enough to leave a coordinate empty once in a hundred texts, which then throws more.
 DARTS = int(COORDINATES * (np.log(COORDINATES) + 4))
-#: A pair at 0.8 has a lower estimate once in 200,000 times (4.4 standard deviations).
-LEAST_ESTIMATE = 0.66
-#: Rounds of leaders, which close most buckets; they only save work for the comparison of all pairs that follows.
-MOST_ROUNDS = 4
-#: Open buckets of up to so many texts are compared as rows of pairs, larger ones in blocks.
-PAIRED = 16
+#: Rounds of leaders; they only save work for the comparison of all pairs that follows.
+MOST_ROUNDS = 2
+#: Buckets of up to so many texts are small: about ``PACK`` of their rows are compared in a task, each text loaded once.
+SMALL, PACK = 64, 2048
 #: Cells and texts of a block: two of them are what one task compares at a time.
 BLOCK_CELLS, BLOCK_TEXTS = 400_000, 2048
+#: Bytes of a comparison after which a task hands freed memory back, which takes some milliseconds.
+LARGE_TABLE = 1 << 22
 PAIR = ("a", "b", "a_component", "b_component")
 
-_SIGNATURE = "weight int, bands array<bigint>, sketch binary"
+_SIGNATURE = "weight int, bands array<bigint>"
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -115,39 +115,25 @@ def _bands(kept: np.ndarray) -> np.ndarray:
 
 
 def signature(text: str = "text") -> Column:
-    """A struct (weight, bands, sketch): the sketch has a byte of each coordinate."""
+    """A struct (weight, bands)."""
 
     def signed(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            weights, bands, sketches = [], [], []
+            weights, bands = [], []
             for _, _, texts in parts(column):
                 weight, kept = signatures(texts)
                 some = weight > 0
-                sketch = (mix(kept) >> np.uint64(56)).astype(np.uint8)
                 weights.extend(weight.tolist())
-                sketches.extend(row.tobytes() if known else b"" for row, known in zip(sketch, some))
                 bands.append((_bands(kept)[some].reshape(-1), np.where(some, BANDS, 0)))
             sizes = np.concatenate([np.zeros(1, np.int64), *(size for _, size in bands)])
             values = np.concatenate([np.zeros(0, np.int64), *(value for value, _ in bands)])
             lists = pa.ListArray.from_arrays(np.cumsum(sizes).astype(np.int32), pa.array(values))
-            yield pa.StructArray.from_arrays(
-                [pa.array(weights, pa.int32()), lists, pa.array(sketches, pa.binary())], ["weight", "bands", "sketch"]
-            )
+            yield pa.StructArray.from_arrays([pa.array(weights, pa.int32()), lists], ["weight", "bands"])
 
     signed.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(signed, _SIGNATURE)(F.col(text))
 
 
-def _estimate(left: str, right: str) -> Column:
-    def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
-        bytes_of = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        same = (bytes_of(left) == bytes_of(right)).mean(axis=1)
-        return pa.array((same - 1 / 256) / (1 - 1 / 256))
-
-    agreement.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
-    return F.arrow_udf(agreement, "double")(left, right)
-
-
 def similarities(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """The weighted Jaccard similarity of each pair of texts on their cells; 0 where one has no words."""
     cells, text = _cells(left + right)
@@ -186,27 +172,28 @@ def _label(nodes: DataFrame, column: str, components: DataFrame | None, name: st
     return nodes.join(known, column, "left").withColumn(name, F.coalesce("__component", column)).drop("__component")
 
 
-def _candidates(shared: DataFrame, components: DataFrame | None, number: int) -> DataFrame:
-    """(a, b) with a < b: members of a bucket with its leader, where their components differ, and these components.
+def _candidates(shared: DataFrame, components: DataFrame | None, number: int, similarity: float) -> DataFrame:
+    """(a, b, a_component, b_component): every member of an open bucket with one leader of another component.
 
-    Buckets whose members are of one component are done. The leader is the member of the least hash: at first the
-    same hash in all buckets, so that large groups gather around few leaders, then one for each bucket and round.
-    At first a member meets only the leader it shares the most buckets with.
+    Buckets whose members are of one component are done. The leader of a bucket is the member of the least hash, which
+    is the same in all buckets of a round, so large groups gather around few leaders. A member meets the leader that
+    it shares the most buckets with, if their numbers of cells don't rule a link out.
     """
     labelled = _label(shared, "id", components, "component")
-    drawn = F.xxhash64("id", "bucket", F.lit(number)) if number else F.xxhash64("id")
-    member = F.struct(drawn.alias("draw"), "id", "component")
+    member = F.struct(F.xxhash64("id", F.lit(number)).alias("draw"), "id", "component", "weight")
     leaders = labelled.groupBy("bucket").agg(
         F.min(member).alias("leader"), (F.min("component") != F.max("component")).alias("open")
     )
-    leaders = leaders.filter("open").select("bucket", "leader")
-    met = labelled.join(leaders, "bucket").filter(F.col("component") != F.col("leader.component"))
-    if not number:
-        together = met.groupBy("id", "component", "leader").agg(F.count(F.lit(1)).alias("n"))
-        met = together.groupBy("id", "component").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
-    ends = F.array_sort(F.array(F.struct("id", "component"), F.struct("leader.id", "leader.component")))
-    pairs = met.select(ends[0].alias("x"), ends[1].alias("y"))
-    return pairs.select(*(F.col(c).alias(n) for c, n in zip(("x.id", "y.id", "x.component", "y.component"), PAIR))).distinct()
+    met = labelled.join(leaders.filter("open").drop("open"), "bucket").filter(F.col("component") != F.col("leader.component"))
+    fewer, more = F.least("weight", "leader.weight"), F.greatest("weight", "leader.weight")
+    possible = met.filter(fewer >= similarity * more)
+    chosen = possible.groupBy("id", "component").agg(F.mode("leader", deterministic=True).alias("leader"))
+    return chosen.select(
+        F.col("id").alias("a"),
+        F.col("leader.id").alias("b"),
+        F.col("component").alias("a_component"),
+        F.col("leader.component").alias("b_component"),
+    )
 
 
 def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -225,62 +212,81 @@ def _with_both(edges: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return edges.join(left, "a").join(right, "b")
 
 
-def _checked(
-    edges: DataFrame, tried: DataFrame | None, reps: DataFrame, texts: DataFrame, similarity: float
-) -> tuple[DataFrame, DataFrame]:
-    """The edges not tried before whose estimate is likely, and those of them that are links."""
-    if tried is not None:
-        edges = edges.join(tried, ["a", "b"], "left_anti")
-    estimated = _with_both(edges, reps, "sketch").select(*PAIR, _estimate("left", "right").alias("estimate"))
-    likely = stored(estimated.filter(F.col("estimate") >= LEAST_ESTIMATE), "candidates")
-    exact = _with_both(likely, texts, "text").select(*PAIR, _similarity("left", "right").alias("similarity"))
-    return likely, stored(exact.filter(F.col("similarity") >= similarity), "links")
-
-
-def _pairs(members: DataFrame) -> DataFrame:
-    """(a, b) with a < b: all members of a bucket whose components differ, and these components."""
-    left = members.select("bucket", F.col("id").alias("a"), F.col("component").alias("a_component"))
-    right = members.select("bucket", F.col("id").alias("b"), F.col("component").alias("b_component"))
-    different = (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
-    return left.join(right, "bucket").filter(different).select(*PAIR).distinct()
+def _links(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The edges whose texts are similar."""
+    exact = _with_both(edges, texts, "text").select(*PAIR, _similarity("left", "right").alias("similarity"))
+    return stored(exact.filter(F.col("similarity") >= similarity), "links")
+
+
+class _Compared:
+    """Texts of a task with their cells, and links between their components: enough to join what is linked."""
+
+    def __init__(self, table: pa.Table, similarity: float):
+        if table.nbytes > LARGE_TABLE:
+            give_back_memory()
+        self.similarity = similarity
+        self.component = table.column("component").to_numpy()
+        cells, text = _cells(text_bytes(table.column("text")))
+        self.weight = np.bincount(text, minlength=len(self.component))
+        self.bound = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.weight)])
+        _, self.cells = np.unique(cells, return_inverse=True)
+        self.marked = np.zeros(len(cells) and self.cells.max() + 1, np.int32)
+        #: The same number for texts that are joined.
+        self.joined = self.component.copy()
+        self.links: list[tuple[int, int]] = []
+
+    def compare(self, at: int, others: np.ndarray) -> None:
+        """Text ``at`` with those of the others that aren't joined with it yet and whose cells may be enough."""
+        fewer, more = np.minimum(self.weight[others], self.weight[at]), np.maximum(self.weight[others], self.weight[at])
+        others = others[(self.joined[others] != self.joined[at]) & (fewer >= self.similarity * more)]
+        if not len(others):
+            return
+        own = self.cells[self.bound[at] : self.bound[at + 1]]
+        size = self.weight[others]
+        ends = np.cumsum(size)
+        members = self.cells[np.arange(ends[-1]) + np.repeat(self.bound[others] - ends + size, size)]
+        self.marked[own] = 1
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.marked[members])])
+        self.marked[own] = 0
+        shared = total[ends] - total[ends - size]
+        similar = others[shared / np.maximum(self.weight[at] + size - shared, 1) >= self.similarity]
+        for other in similar.tolist():
+            if self.joined[other] != self.joined[at]:
+                self.links.append((int(self.component[at]), int(self.component[other])))
+                self.joined[self.joined == self.joined[other]] = self.joined[at]
+
+    def table(self) -> pa.Table:
+        return pa.table([pa.array([x[n] for x in self.links], pa.int64()) for n in (0, 1)], ["a_component", "b_component"])
 
 
 def _block_links(table: pa.Table, similarity: float) -> pa.Table:
-    """(a_component, b_component) of links between two blocks, or in one: enough of them to join what is linked."""
-    give_back_memory()
-    block, component = table.column("block").to_numpy(), table.column("component").to_numpy()
-    cells, text = _cells(text_bytes(table.column("text")))
-    weight = np.bincount(text, minlength=len(block))
-    bound = np.concatenate([np.zeros(1, np.int64), np.cumsum(weight)])
-    _, cells = np.unique(cells, return_inverse=True)
+    """(a_component, b_component) of links between two blocks of a bucket, or within one."""
+    compared, block = _Compared(table, similarity), table.column("block").to_numpy()
     first = np.flatnonzero(block == block.min())
-    # Without a second block all texts of the first one meet each other.
-    second = np.flatnonzero(block != block.min()) if block.min() != block.max() else first
-    alone = second is first and table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
-    members = np.concatenate([np.arange(bound[at], bound[at + 1]) for at in second])
-    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(weight[second])])
-    members, marked = cells[members], np.zeros(len(cells) and cells.max() + 1, np.int32)
-    joined = {int(name): int(name) for name in np.unique(component)}
-
-    def root(name: int) -> int:
-        while joined[name] != name:
-            joined[name] = name = joined[joined[name]]
-        return name
-
-    found: list[tuple[int, int]] = []
-    for at in () if alone else first:
-        own = cells[bound[at] : bound[at + 1]]
-        marked[own] = 1
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(marked[members])])
-        marked[own] = 0
-        shared = total[ends[1:]] - total[ends[:-1]]
-        similar = shared / np.maximum(weight[at] + weight[second] - shared, 1) >= similarity
-        for other in np.unique(component[second[similar]]).tolist():
-            here, there = root(int(component[at])), root(other)
-            if here != there:
-                joined[here] = there
-                found.append((int(component[at]), other))
-    return pa.table([pa.array([x[n] for x in found], pa.int64()) for n in (0, 1)], ["a_component", "b_component"])
+    if block.min() != block.max():
+        second = np.flatnonzero(block != block.min())
+        for at in first.tolist():
+            compared.compare(at, second)
+    elif table.column("lo")[0].as_py() == table.column("hi")[0].as_py():  # else the other block is empty
+        for place, at in enumerate(first.tolist()):
+            compared.compare(at, first[place + 1 :])
+    return compared.table()
+
+
+def _pack_links(table: pa.Table, similarity: float) -> pa.Table:
+    """(a_component, b_component) of links within the small buckets of a pack."""
+    compared = _Compared(table, similarity)
+    lists = table.column("buckets").combine_chunks()
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    buckets = lists.flatten().to_numpy()
+    order = np.lexsort((rows, buckets))
+    rows, buckets = rows[order], buckets[order]
+    # Equal sets of texts, as near copies have in many buckets, are compared once.
+    for members in {part.tobytes() for part in np.split(rows, runs(buckets)[1:])}:
+        members = np.frombuffer(members, rows.dtype)
+        for place, at in enumerate(members.tolist()[:-1]):
+            compared.compare(at, members[place + 1 :])
+    return compared.table()
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -307,37 +313,35 @@ def _blocks(members: DataFrame) -> DataFrame:
     return met.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "component")
 
 
-def _open_links(
-    shared: DataFrame, components: DataFrame | None, tried: DataFrame | None, reps: DataFrame, texts: DataFrame, similarity: float
-) -> DataFrame:
-    """(a_component, b_component): links among all pairs of a bucket whose components differ after the leader rounds.
-
-    Buckets of two members are left out: a round other than the first has compared their only pair.
-    """
+def _open_links(shared: DataFrame, components: DataFrame | None, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a_component, b_component): links among all pairs of a bucket whose components differ after the leader rounds."""
     labelled = _label(shared, "id", components, "component")
     size = labelled.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), (F.min("component") != F.max("component")).alias("open")
     )
-    still = size.filter("open AND n > 2").select("bucket", "n")
-    members = stored(labelled.join(still, "bucket"), "open")
-    _, links = _checked(_pairs(members.filter(F.col("n") <= PAIRED)), tried, reps, texts, similarity)
-    blocks = _blocks(members.filter(F.col("n") > PAIRED)).join(texts, "id")
-    compared = blocks.groupBy("bucket", "lo", "hi").applyInArrow(
-        lambda table: _block_links(table, similarity), "a_component bigint, b_component bigint"
-    )
-    return stored(links.select("a_component", "b_component").union(compared).distinct(), "links")
+    members = stored(labelled.join(size.filter("open").select("bucket", "n"), "bucket"), "open")
+    found = "a_component bigint, b_component bigint"
+    small = members.filter(F.col("n") <= SMALL)
+    packs = max(1, small.count() // PACK)
+    # Buckets with the same least text go together: they tend to hold the same texts.
+    least = F.min("id").over(Window.partitionBy("bucket"))
+    packed = small.withColumn("pack", F.pmod(F.xxhash64(least), F.lit(packs)))
+    packed = packed.groupBy("pack", "id", "component").agg(F.collect_list("bucket").alias("buckets"))
+    small_links = packed.join(texts, "id").groupBy("pack").applyInArrow(lambda table: _pack_links(table, similarity), found)
+    blocks = _blocks(members.filter(F.col("n") > SMALL)).join(texts, "id")
+    large_links = blocks.groupBy("bucket", "lo", "hi").applyInArrow(lambda table: _block_links(table, similarity), found)
+    return stored(small_links.union(large_links).distinct(), "links")
 
 
 def near_duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(key, group) of every different text with words: texts linked by chains of similar pairs share a group.
 
     ``key`` is that of ``text_key``. Pairs of a similarity of at least ``similarity`` (weighted Jaccard of their
-    shingles) are links. A pair at 0.8 shares no band once in 300,000 pairs, or has too low an estimate once in
-    200,000, and is then not seen; all others are.
+    shingles) are links. A pair at 0.8 shares no band once in 300,000 pairs and is then not seen; all others are.
     """
     keyed = docs.select("text", text_key().alias("key"))
     signed = keyed.select("key", signature().alias("s")).filter("s.weight > 0")
-    reps = signed.select("key", "s.weight", "s.bands", "s.sketch").dropDuplicates(["key"])
+    reps = signed.select("key", "s.weight", "s.bands").dropDuplicates(["key"])
     reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "signatures")
     buckets = reps.select("id", "weight", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
@@ -345,15 +349,14 @@ def near_duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> Da
     met = reps.join(shared.select("id").distinct(), "id", "left_semi").select("id", "key")
     texts = stored(keyed.join(met, "key").dropDuplicates(["key"]).select("id", "text"), "texts")
 
-    components, tried = None, None
+    components = None
     for number in range(MOST_ROUNDS):
-        likely, found = _checked(_candidates(shared, components, number), tried, reps, texts, similarity)
-        tried = likely.select("a", "b") if tried is None else tried.union(likely.select("a", "b"))
+        found = _links(_candidates(shared, components, number, similarity), texts, similarity)
         if not found.isEmpty():
             components = _merged(components, found)
         elif number:
             break
-    found = _open_links(shared, components, tried, reps, texts, similarity)
+    found = _open_links(shared, components, texts, similarity)
     if not found.isEmpty():
         components = _merged(components, found)
     return _label(reps.select("key", "id"), "id", components, "group").select("key", "group")

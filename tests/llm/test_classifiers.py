@@ -152,7 +152,7 @@ def test_large_group_of_near_copies(spark):
 
 @pytest.mark.parametrize("sizes", [(16, 2048), (2, 40), (1000, 2048)])
 def test_versions_that_only_resemble_their_original(spark, monkeypatch, sizes):
-    monkeypatch.setattr(near_duplicates, "PAIRED", sizes[0])
+    monkeypatch.setattr(near_duplicates, "SMALL", sizes[0])
     monkeypatch.setattr(near_duplicates, "BLOCK_TEXTS", sizes[1])
     rng = np.random.default_rng(2)
     base = [f"w{i}" for i in range(200)]
