@@ -63,6 +63,16 @@ def _by_text(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return total[ends] - total[starts]
 
 
+def _equals_first(data: np.ndarray, start: np.ndarray, end: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """Whether a range that has the hash of the ones before it has the bytes of the first of them, too."""
+    found, raw = np.ones(len(start), bool), data.tobytes() if again.any() else b""
+    first = np.maximum.accumulate(np.where(again, 0, np.arange(len(start))))
+    for at in np.flatnonzero(again).tolist():
+        own, other = slice(start[at], end[at]), slice(start[first[at]], end[first[at]])
+        found[at] = raw[own] == raw[other]
+    return found
+
+
 def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     """Counts of each text over words that ASCII white space ends.
 
@@ -87,6 +97,7 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     order = np.argsort(lines, kind="stable")
     again = np.ones(len(order), bool)
     again[runs(lines[order])] = False
+    again &= _equals_first(block.data, line_start[filled][order], feeds[filled][order], again)
 
     whole = np.flatnonzero(words.whole(3))
     windows = chain(window_hashes(words.hashes(), 3)[whole], words.text[whole].astype(np.uint64))
