@@ -24,8 +24,9 @@ from matflow.llm.blocks import NOT_ALPHANUMERIC, covered, parts, ranges, text_by
 from matflow.llm.storage import stored
 
 WINDOW = 13
-#: An item is near a passage that has its rarest NEAR_TERMS terms within NEAR_WORDS words of the rarest one.
-NEAR_TERMS, NEAR_WORDS = 4, 20
+#: An item is near a passage that has its rarest NEAR_TERMS terms within NEAR_WORDS words of the rarest one. Terms that
+#: no document has don't count; of fewer than NEAR_TERMS all are needed, and at least LEAST_TERMS.
+NEAR_TERMS, NEAR_WORDS, LEAST_TERMS = 4, 20, 2
 #: Test items, in bytes of text, that are broadcast at once; more of them are looked up in several passes.
 PASS_BYTES = 8 << 20
 #: Bytes of text of a segment.
@@ -76,12 +77,23 @@ def _items(rows: pa.Table) -> TestItems:
 
 
 def _passes(benchmark: DataFrame) -> Iterator[TestItems]:
-    """The test items in parts of bounded size; equal rows count once."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    passes = max(1, -(-size // PASS_BYTES))
+    """The test items in parts of bounded size; equal rows count once, those without an id not at all.
+
+    Rows are dealt by id and text, so those of one id can go to several parts. There are more parts as long as one of
+    them has twice the bytes it should have and more than one row.
+    """
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("item IS NOT NULL").distinct()
+    passes = 1
+    while True:
+        part = F.pmod(F.xxhash64("item", "text"), F.lit(passes))
+        sizes = rows.groupBy(part.alias("part")).agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+        large = sizes.filter(f"n > 1 AND bytes > {PASS_BYTES if passes == 1 else 2 * PASS_BYTES}")
+        most = large.agg(F.max("bytes")).first()[0]
+        if not most:
+            break
+        passes = max(2 * passes, -(-most // PASS_BYTES))
     for at in range(passes):
-        yield _items(rows.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == at).orderBy("item", "text").toArrow())
+        yield _items(rows.filter(part == at).orderBy("item", "text").toArrow())
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -184,6 +196,7 @@ class _Segment:
                 place = np.searchsorted(listed, base - NEAR_WORDS)
                 holds = place < len(listed)
                 holds[holds] = listed[place[holds]] <= base[holds] + NEAR_WORDS
+                holds |= chosen[item, step] < 0
                 item, at = item[holds], at[holds]
             found.append((item, self.document(at)))
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
@@ -207,8 +220,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rarest_terms(index: DataFrame, items: TestItems) -> np.ndarray:
     """The NEAR_TERMS terms of each item that occur least in the whole index, equals in the order of their bytes.
 
-    -1 for items of fewer terms, or with a term that does not occur. What is collected is a count for each term of
-    the test items.
+    Terms that don't occur are passed over. -1 where there are no more, and for items with fewer than LEAST_TERMS. What
+    is collected is a count for each term of the test items.
     """
     table = index.mapInArrow(_term_counts, "term int, n int").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(len(items.vocabulary), np.int64)
@@ -218,9 +231,10 @@ def _rarest_terms(index: DataFrame, items: TestItems) -> np.ndarray:
     chosen = np.full((len(items.names), NEAR_TERMS), -1, np.int64)
     for item, (low, high) in enumerate(zip(items.first, items.first[1:])):
         own = np.unique(items.terms[low:high])
+        own = own[count[own] > 0]
         own = own[np.lexsort((by_bytes[own], count[own]))][:NEAR_TERMS]
-        if len(own) == NEAR_TERMS and count[own[0]]:
-            chosen[item] = own
+        if len(own) >= LEAST_TERMS:
+            chosen[item, : len(own)] = own
     return chosen
 
 

@@ -134,17 +134,18 @@ named as (
 places as (select row_no, unnest(w) as term, unnest(range(1, len(w) + 1)) as place from docs),
 counts as (select term, count(*) as n from places group by term),
 rarest as (
-  select item_no, item, term, row_number() over (partition by item_no order by coalesce(n, 0), term) as rank, coalesce(n, 0) as n
+  select item_no, item, term, row_number() over (partition by item_no order by n, term) as rank
   from (select item_no, item, unnest(list_distinct(w)) as term from (select row_number() over () as item_no, * from items))
-  left join counts using (term)),
-usable as (select item_no from rarest where rank <= 4 group by item_no having count(*) = 4 and min(n) > 0),
+  join counts using (term)),
+usable as (select item_no, count(*) - 1 as others from rarest where rank <= 4 group by item_no having count(*) >= 2),
 anchors as (
-  select a.item_no, a.item, p.row_no, p.place from rarest a join usable using (item_no) join places p using (term) where a.rank = 1),
+  select a.item_no, a.item, u.others, p.row_no, p.place
+  from rarest a join usable u using (item_no) join places p using (term) where a.rank = 1),
 close_by as (
   select a.item_no, a.item, a.row_no, a.place from anchors a
   join rarest o on o.item_no = a.item_no and o.rank between 2 and 4
   join places p on p.term = o.term and p.row_no = a.row_no and p.place between a.place - 20 and a.place + 20
-  group by all having count(distinct o.term) = 3),
+  group by a.item_no, a.item, a.others, a.row_no, a.place having count(distinct o.term) = a.others),
 near as (select row_no, count(distinct item) as n from close_by group by row_no)
 select doc_id, len(w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(n.n, 0)::bigint as n_items,
        sha256(coalesce(n.names, '')) as items_sha256,
