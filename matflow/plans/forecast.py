@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matflow.functions.aggregates import strict_sum
 from matflow.functions.casts import tolerant_double
 from matflow.functions.keys import composite_key, remove_char, replace_char
 from matflow.operators.reshape import HORIZON, SKIP_MONTHS, pivot_all_months, pivot_months
@@ -47,6 +48,27 @@ def forecast_lag1(
     return wide.withColumn("mfg_ref", replace_char("mfg_ref"))
 
 
+def monthly_cases(forecast: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, mfg_ref, month, cases, rows, bad_rows): one row a key and month, whose cases are NULL if a row has none.
+
+    What the forecast says in one pass: months of a snapshot, ``lag1_of_months`` and ``poisoned_months`` need no more.
+    """
+    groups = forecast_cases(forecast, by).groupBy(*by, "mfg_ref", MONTH)
+    rows = {"rows": F.count(F.lit(1)), "bad_rows": F.count_if(F.col(CASES).isNull())}
+    return groups.agg(strict_sum(CASES).alias(CASES), *(column.alias(name) for name, column in rows.items()))
+
+
+def lag1_of_months(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``forecast_lag1`` from ``monthly_cases``."""
+    wide = pivot_months(months, "mfg_ref", MONTH, CASES, by)
+    return wide.withColumn("mfg_ref", replace_char("mfg_ref"))
+
+
+def poisoned_months(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``poisoned_groups`` from ``monthly_cases``."""
+    return months.filter(F.col("bad_rows") > 0).select(*by, "mfg_ref", MONTH, "rows", "bad_rows")
+
+
 def forecast_wide_all(forecast: DataFrame) -> DataFrame:
     """One row per mfg_ref with one column per month of the snapshot."""
     wide = pivot_all_months(forecast_cases(forecast), "mfg_ref", MONTH, CASES)

@@ -10,13 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from matflow.plans.weekly import WeeklyInputs, weekly_tables
+from matflow.plans.weekly import WeeklyInputs, publish_weekly
 from matflow.sources.manifests import publish_set
 from matflow.sources.published import folder_files
 
 Tables = Callable[[SparkSession, list[date]], Mapping[str, DataFrame]]
 
 
+def _for_new_runs(
+    spark: SparkSession, runs: str, publish_days: Callable[[SparkSession, list[date]], None], checkpoint: str
+) -> StreamingQuery:
+    def publish_batch(batch: DataFrame, _: int) -> None:
+        days = sorted(row["as_of"] for row in batch.select("as_of").distinct().collect())
+        if days:
+            publish_days(batch.sparkSession, days)
+
+    new = spark.readStream.schema("as_of date").parquet(runs)
+    writer = new.writeStream.foreachBatch(publish_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def publish_new_runs(spark: SparkSession, runs: str, tables: Tables, root: str, checkpoint: str) -> StreamingQuery:
     """Publish ``tables`` of the run dates in those files of the folder ``runs`` that no earlier start has read.
 
@@ -25,14 +38,10 @@ def publish_new_runs(spark: SparkSession, runs: str, tables: Tables, root: str,
     replaces the same dates, so every date counts once. The stream ends when no new file is left.
     """
 
-    def publish_batch(batch: DataFrame, _: int) -> None:
-        days = sorted(row["as_of"] for row in batch.select("as_of").distinct().collect())
-        if days:
-            publish_set(tables(batch.sparkSession, days), root, run_dates=days)
+    def publish_days(session: SparkSession, days: list[date]) -> None:
+        publish_set(tables(session, days), root, run_dates=days)
 
-    new = spark.readStream.schema("as_of date").parquet(runs)
-    writer = new.writeStream.foreachBatch(publish_batch).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return _for_new_runs(spark, runs, publish_days, checkpoint)
 
 
 def landed_inputs(spark: SparkSession, landing: str, days: Sequence[date]) -> WeeklyInputs:
@@ -61,7 +70,7 @@ def landed_inputs(spark: SparkSession, landing: str, days: Sequence[date]) -> We
 def publish_new_weeks(spark: SparkSession, landing: str, root: str, checkpoint: str) -> StreamingQuery:
     """``publish_new_runs`` for all tables of the weekly job, from the inputs below ``landing``."""
 
-    def tables(session: SparkSession, days: list[date]) -> Mapping[str, DataFrame]:
-        return weekly_tables(landed_inputs(session, landing, days))
+    def publish_days(session: SparkSession, days: list[date]) -> None:
+        publish_weekly(landed_inputs(session, landing, days), root, together=True)
 
-    return publish_new_runs(spark, f"{landing}/runs", tables, root, checkpoint)
+    return _for_new_runs(spark, f"{landing}/runs", publish_days, checkpoint)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, fields, replace
 from datetime import date, timedelta
 from functools import reduce
@@ -12,12 +14,20 @@ from pyspark.sql import functions as F
 from matflow.operators.lookups import lookup_join
 from matflow.plans.bom import bom_demand
 from matflow.plans.exceptions import exception_enriched
-from matflow.plans.forecast import complete_months, forecast_lag1, poisoned_groups, snapshot_months
+from matflow.plans.forecast import (
+    complete_months,
+    forecast_lag1,
+    lag1_of_months,
+    monthly_cases,
+    poisoned_groups,
+    poisoned_months,
+    snapshot_months,
+)
 from matflow.plans.inventory import fg_inventory_lot, rm_inventory
 from matflow.plans.orders import open_po, receipts
 from matflow.sources.grid import named_sheet
 from matflow.sources.manifests import publish_set
-from matflow.sources.published import publish_tables
+from matflow.sources.published import folder_files, publish_tables
 from matflow.sources.snapshots import select_snapshot
 
 RUN = ("as_of",)
@@ -98,49 +108,68 @@ def forecast_gaps(chosen: DataFrame) -> DataFrame:
 
 
 def weekly_bom_demand(
-    bom: DataFrame, forecast: DataFrame, runs: DataFrame, chosen: DataFrame | None = None
+    bom: DataFrame, forecast: DataFrame, runs: DataFrame, chosen: DataFrame | None = None, months: DataFrame | None = None
 ) -> DataFrame:
     """Material demand of every run with its own lag-1 snapshot.
 
     A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run. Runs whose
-    snapshot is missing or has too few months have no forecast (NULL) and are listed by ``forecast_gaps``.
+    snapshot is missing or has too few months have no forecast (NULL) and are listed by ``forecast_gaps``. ``months``
+    is what ``monthly_cases`` gives for the forecast, where it is at hand.
     """
-    reach = forecasts_in_reach(forecast, runs)
+    reach = forecasts_in_reach(forecast, runs) if months is None else months
     chosen = choose_snapshots(runs, reach) if chosen is None else chosen
     used = chosen.filter(_complete()).select("snapshot_date").distinct()
     in_use = reach.join(used, "snapshot_date", "left_semi")
-    lag1 = forecast_lag1(in_use, by=["snapshot_date"])
+    lag1 = (forecast_lag1 if months is None else lag1_of_months)(in_use, by=["snapshot_date"])
     dated = lookup_join(bom, chosen, RUN, null_safe=False)
     keys = ["as_of", "snapshot_date", "months_found"]
     return bom_demand(dated, lag1, by=["snapshot_date"], keys=keys, known=_complete()).drop("months_found")
 
 
-def weekly_tables(inputs: WeeklyInputs) -> dict[str, DataFrame]:
-    """Every published table, for every run date of the inputs; the last two tell what the others lack."""
+def weekly_tables(inputs: WeeklyInputs, store: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Every published table, for every run date of the inputs; the last two tell what the others lack.
+
+    ``store`` writes a table and reads it again. With it the forecast is read once: choosing snapshots, pivoting them
+    and listing what counts as 0 then work on its sums by month. Without it each of them is a plan on the forecast.
+    """
     rm, fg = named_sheet(inputs.lots, "RM"), named_sheet(inputs.lots, "FG")
     reach = forecasts_in_reach(inputs.forecast, inputs.runs)
-    chosen = choose_snapshots(inputs.runs, reach)
+    months = None if store is None else store(monthly_cases(reach, by=["snapshot_date"]))
+    chosen = choose_snapshots(inputs.runs, reach if months is None else months)
     used = chosen.filter(_complete()).select("as_of", "snapshot_date")
+    poisoned = (poisoned_groups if months is None else poisoned_months)(reach if months is None else months, by=["snapshot_date"])
     return {
         "po": open_po(inputs.po, inputs.campus, by=RUN),
         "receipt": receipts(inputs.receipt, inputs.campus, by=RUN),
-        "bom": weekly_bom_demand(inputs.bom, inputs.forecast, inputs.runs, chosen),
+        "bom": weekly_bom_demand(inputs.bom, inputs.forecast, inputs.runs, chosen, months),
         "exception_report": exception_enriched(inputs.exception_report, inputs.campus),
         "rm_inventory": rm_inventory(rm, inputs.erp_lots, inputs.exception_report, by=RUN),
         "fg_inventory": fg_inventory_lot(fg, by=RUN),
         "forecast_gaps": forecast_gaps(chosen),
-        "poisoned_forecast": poisoned_groups(reach, by=["snapshot_date"]).join(used, "snapshot_date"),
+        "poisoned_forecast": poisoned.join(used, "snapshot_date"),
     }
 
 
 def publish_weekly(inputs: WeeklyInputs, root: str, together: bool = False) -> None:
     """Write all tables. The run dates of the inputs are replaced, also where they have no rows; others stay.
 
-    ``together`` publishes them as one set (``read_set``): readers see all tables of the new week or none.
+    ``together`` publishes them as one set (``read_set``): readers see all tables of the new week or none. The sums of
+    the forecast by month lie below ``root`` until all tables are written.
     """
+    spark = inputs.runs.sparkSession
     days = [row["as_of"] for row in inputs.runs.select("as_of").distinct().collect()]
+    aside = f"{root}/_months-{uuid.uuid4().hex}"
+
+    def store(months: DataFrame) -> DataFrame:
+        months.write.parquet(aside)
+        return spark.read.schema(months.schema).parquet(aside)
+
     write = publish_set if together else publish_tables
-    write(weekly_tables(inputs), root, run_dates=days)
+    try:
+        write(weekly_tables(inputs, store), root, run_dates=days)
+    finally:
+        system, path, _ = folder_files(spark, aside)
+        system.delete(path, True)
 
 
 def weekly_summary(tables: dict[str, DataFrame]) -> DataFrame:

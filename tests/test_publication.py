@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,24 @@ def test_a_second_start_reads_the_new_week_only(spark, tmp_path):
     full = plans.weekly_tables(inputs.only(*weeks))
     for name, df in full.items():
         assert bag(src.read_set(spark, root, name).select(df.columns)) == bag(df), name
+
+
+def test_a_published_week_reads_its_forecast_once(spark, tmp_path):
+    inputs = weekly_inputs(spark, SF_DIR)
+    some = inputs.only(*[r["as_of"] for r in inputs.runs.orderBy("as_of").collect()][-12:])
+    reads = spark.sparkContext.accumulator(0)
+    stored = str(tmp_path / "forecast")
+    inputs.forecast.write.parquet(stored)
+    forecast = spark.read.parquet(stored)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    once = replace(some, forecast=forecast.mapInArrow(counted, forecast.schema))
+    plans.publish_weekly(once, str(tmp_path / "published"), together=True)
+    assert reads.value == forecast.count()
+    assert not list((tmp_path / "published").glob("_months*"))
+    for name, df in plans.weekly_tables(some).items():
+        assert bag(src.read_set(spark, str(tmp_path / "published"), name).select(df.columns)) == bag(df), name
