@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from matflow.llm.blocks import parts, runs
 
-#: Pre-tokens whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 200_000
+#: Pre-tokens whose ids a task remembers, and their bytes with those of their ids; beyond that it starts anew.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 32 << 20
 #: Bytes of text whose new pre-tokens share a queue.
 QUEUE_BYTES = 2 << 20
 
@@ -139,6 +139,7 @@ class Encoder:
         self.ranks = {token: rank for rank, token in enumerate(vocabulary.tokens)}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.seen: dict[bytes, bytes] = {}
+        self.held = 0
         self.kinds = np.full(0x10000, _OTHER, np.uint8)
         for code in range(0x10000):
             self.kinds[code] = _kind(code)
@@ -171,17 +172,14 @@ class Encoder:
             at = at[rank[at] == least]
             if not len(at):
                 continue
+            # Of overlapping pairs every other one merges, from the left.
+            every = at
+            overlaps = np.concatenate([[False], after[at[:-1]] == at[1:]])
+            index = np.arange(len(at))
+            at = at[(index - np.maximum.accumulate(np.where(overlaps, 0, index))) % 2 == 0]
             if self.vocabulary.late[least]:
-                # The new token may form a pair of a lower rank, which comes before the other pairs of its piece.
-                first = runs(piece[at])
-                rest = np.delete(at, first)
+                at, rest = self._until_lower(least, every, at, token, before, after, piece)
                 queue.push(rank[rest], rest)
-                at = at[first]
-            else:
-                # Of overlapping pairs every other one merges, from the left.
-                overlaps = np.concatenate([[False], after[at[:-1]] == at[1:]])
-                index = np.arange(len(at))
-                at = at[(index - np.maximum.accumulate(np.where(overlaps, 0, index))) % 2 == 0]
             gone = after[at]
             following = after[gone]
             token[at], after[at], alive[gone], rank[gone] = least, following, False, _NONE
@@ -195,6 +193,31 @@ class Encoder:
         bounds = (4 * np.concatenate([[0], np.cumsum(np.bincount(piece[alive], minlength=len(pieces)))])).tolist()
         return [ids[begin:end] for begin, end in zip(bounds, bounds[1:])]
 
+    def _until_lower(self, least: int, every: np.ndarray, at: np.ndarray, token, before, after, piece) -> tuple[np.ndarray, np.ndarray]:
+        """The merges ``at`` that come next in each piece, and the positions of ``every`` that come later.
+
+        One after another, merges of a piece go on until one makes a pair of a lower rank, which comes before the
+        others. A merge's left neighbour is the merge before it where they touch; its right one is not merged yet.
+        """
+        left, right = before[at], after[after[at]]
+        touches = np.concatenate([[False], right[:-1] == at[1:]])
+        lower = np.zeros(len(at), bool)
+        some = np.flatnonzero(left >= 0)
+        own = np.full(len(at), least, token.dtype)
+        made = self.pair_ranks(np.where(touches[some], least, token[left[some]]), own[some])
+        lower[some] = (made >= 0) & (made < least)
+        some = np.flatnonzero(right >= 0)
+        made = self.pair_ranks(own[some], token[right[some]])
+        lower[some] |= (made >= 0) & (made < least)
+        first = runs(piece[at])
+        index = np.arange(len(at))
+        stop = np.minimum.reduceat(np.where(lower, index, len(at)), first)
+        last = np.minimum(stop, np.append(first[1:], len(at)) - 1)
+        now = index <= np.repeat(stop, np.diff(np.append(first, len(at))))
+        # Later are those beyond the last merge of their piece.
+        group = np.searchsorted(piece[at[first]], piece[every])
+        return at[now], every[every > at[last][group]]
+
     def split(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         """The pre-tokens of all texts, and for each text where its first one is."""
         decoded = [text.decode("utf-8", "replace") for text in texts]
@@ -237,8 +260,9 @@ class Encoder:
         """The ids of each text, as little-endian 32-bit integers."""
         for _, _, texts in parts(column, QUEUE_BYTES):
             pieces, first = self.split(texts)
-            if len(self.seen) > REMEMBERED:
+            if len(self.seen) > REMEMBERED or self.held > REMEMBERED_BYTES:
                 self.seen.clear()
+                self.held = 0
             new = []
             for piece in set(pieces).difference(self.seen):
                 if (rank := self.ranks.get(piece)) is None:
@@ -246,7 +270,9 @@ class Encoder:
                 else:
                     self.seen[piece] = rank.to_bytes(4, "little")
             if new:
-                self.seen.update(zip(new, self.merge(new)))
+                merged = self.merge(new)
+                self.held += sum(map(len, new)) + sum(map(len, merged))
+                self.seen.update(zip(new, merged))
             ids = list(map(self.seen.__getitem__, pieces))
             for low, high in zip(first.tolist(), first[1:].tolist()):
                 yield b"".join(ids[low:high])

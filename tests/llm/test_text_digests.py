@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import string
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -246,3 +247,40 @@ def test_bitmap_keeps_the_minimum():
             bitmap.remove(value)
             held.discard(value)
         assert bitmap.first() == (min(held) if held else -1)
+
+
+def _reference():
+    path = public_tokenizers.path(VOCABULARY_FILE)
+    ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in open(path, "rb") if line.strip())}
+    return tiktoken.Encoding("reference", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_pre_tokens_of_ranks_that_come_late():
+    """Tokens that are part of a pair of a lower rank merge together only as long as no such pair arises."""
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY_FILE))
+    reference, draw = _reference(), random.Random(7)
+    late = [vocabulary.tokens[rank] for rank in np.flatnonzero(vocabulary.late)]
+    pieces = [b"".join(draw.choice(late) for _ in range(draw.randrange(1, 40))) for _ in range(1500)]
+    pieces += ["".join(draw.choice(some) for _ in range(draw.randrange(1, 90))).encode() for some in ["st", "aab", "er", "tion"] * 300]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in bpe.Encoder(vocabulary).merge(pieces)]
+    assert got == [reference._encode_single_piece(piece) for piece in pieces]
+
+
+@pytest.mark.parametrize("piece", [b"st" * 500_000, b"a" * 400_000, b"tion" * 100_000])
+def test_a_very_long_pre_token(piece):
+    encoder = bpe.Encoder(bpe.read_vocabulary(public_tokenizers.path(VOCABULARY_FILE)))
+    start = time.monotonic()
+    ids = encoder.merge([piece])[0]
+    assert time.monotonic() - start < 60
+    assert np.frombuffer(ids, "<u4").tolist() == _reference()._encode_single_piece(piece)
+    assert encoder.decode(ids) == piece
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 50_000)
+    monkeypatch.setattr(bpe, "QUEUE_BYTES", 10_000)
+    encoder = bpe.Encoder(bpe.read_vocabulary(public_tokenizers.path(VOCABULARY_FILE)))
+    texts = [f"{'x' * 2000}{n} {'y' * 1000}" for n in range(100)]
+    ids = list(encoder.encode(pa.array(texts)))
+    assert [encoder.decode(i).decode() for i in ids] == texts
+    assert encoder.held < 150_000
