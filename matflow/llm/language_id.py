@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.llm.blocks import parts
+from matflow.llm.blocks import parts, runs
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.05
 UNKNOWN = "und"
+#: Characters whose n-grams are made at once, and languages whose counters a task keeps.
+SLICE, DENSE = 1 << 20, 16
 #: Languages whose log-probabilities are still broadcast: 4 bytes x BUCKETS each, 64 MB in all.
 MOST_LANGUAGES = 512
 
@@ -26,57 +28,67 @@ def _letter_table() -> np.ndarray:
     return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
 
 
-def _hashed_ngrams(texts: list[bytes], letters: np.ndarray, buckets: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The buckets of the 1-, 2- and 3-grams around every letter, and the text of each letter.
+def _hashed_ngrams(texts: list[bytes], letters: np.ndarray, buckets: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The buckets of the 1-, 2- and 3-grams around every letter, and the text of each letter, a slice at a time.
 
-    Letters are lower-cased and whatever is no letter counts as one space.
+    Letters are lower-cased and whatever is no letter counts as one space. A slice has about ``SLICE`` characters of one
+    or more texts and sees one more on both sides, so it doesn't matter where a long text is cut.
     """
     lowered = [text.decode("utf-8", "replace").lower() for text in texts]
     joined = "\n" + "\n".join(lowered) + "\n"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
-    ends = np.cumsum(sizes)
-    is_letter = letters[codes]
-    at = np.flatnonzero(is_letter)
-    text = np.searchsorted(ends, at - 1, "right")
-    seen = np.where(is_letter, codes, np.uint32(0))
-    before, here, after = seen[at - 1], seen[at], seen[at + 1]
+    ends = np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)
     shift = np.uint32(32 - buckets.bit_length() + 1)
-    pair = before * np.uint32(0x9E3779B1) + here
-    triple = pair * np.uint32(0x85EBCA77) + after
-    keys = (here * np.uint32(0xC2B2AE3D), pair * np.uint32(0x27D4EB2F) + np.uint32(1), triple * np.uint32(0x165667B1))
-    return [(((key ^ (key >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> shift).astype(np.int32) for key in keys], text
+    for begin in range(1, len(joined) - 1, SLICE):
+        piece = joined[begin - 1 : begin + SLICE + 1]
+        codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
+        is_letter = letters[codes]
+        at = np.flatnonzero(is_letter[1:-1]) + 1
+        text = np.searchsorted(ends, at + begin - 2, "right")
+        seen = np.where(is_letter, codes, np.uint32(0))
+        before, here, after = seen[at - 1], seen[at], seen[at + 1]
+        pair = before * np.uint32(0x9E3779B1) + here
+        triple = pair * np.uint32(0x85EBCA77) + after
+        keys = (here * np.uint32(0xC2B2AE3D), pair * np.uint32(0x27D4EB2F) + np.uint32(1), triple * np.uint32(0x165667B1))
+        yield [(((key ^ (key >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> shift).astype(np.int32) for key in keys], text
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(lang, bucket, n) of a task's rows, and with bucket -1 the documents of each language.
+
+    The first ``DENSE`` languages have a row of counters; counts of others leave the task with the slice they are from.
+    """
     letters = _letter_table()
     order: dict[str, int] = {}
-    counts = np.zeros((0, buckets), np.int64)
-    documents = np.zeros(0, np.int64)
+    counts = np.zeros((DENSE, buckets), np.int64)
+
+    def found(names: list[str], of: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        langs = pa.array(names, pa.string()).take(pa.array(of))
+        return pa.RecordBatch.from_arrays([langs, pa.array(bucket.astype(np.int32)), pa.array(n)], ["lang", "bucket", "n"])
+
     for batch in batches:
         langs = batch.column(1).to_pylist()
         for lang in langs:
-            order.setdefault(lang, len(order))
-        if (more := len(order) - len(counts)) > 0:
-            counts = np.concatenate([counts, np.zeros((more, buckets), np.int64)])
-            documents = np.concatenate([documents, np.zeros(more, np.int64)])
-        of_text = np.fromiter((order[lang] for lang in langs), np.int64, len(langs))
-        documents += np.bincount(of_text, minlength=len(order))
+            if lang not in order and len(order) < DENSE:
+                order[lang] = len(order)
+        others = sorted(set(langs).difference(order))
+        place = {**order, **{lang: DENSE + n for n, lang in enumerate(others)}}
+        names = [*order, *[""] * (DENSE - len(order)), *others]
+        of_text = np.fromiter((place[lang] for lang in langs), np.int64, len(langs))
+        which, documents = np.unique(of_text, return_counts=True)
+        yield found(names, which, np.full(len(which), -1), documents)
         for begin, end, texts in parts(batch.column(0)):
-            grams, text = _hashed_ngrams(texts, letters, buckets)
-            base = of_text[begin:end][text] * buckets
-            for gram in grams:
-                counts += np.bincount(base + gram, minlength=counts.size).reshape(counts.shape)
+            for grams, text in _hashed_ngrams(texts, letters, buckets):
+                own = of_text[begin:end][text]
+                few, rare = own < DENSE, own >= DENSE
+                for gram in grams:
+                    counts += np.bincount(own[few] * buckets + gram[few], minlength=counts.size).reshape(counts.shape)
+                if rare.any():
+                    keys = np.concatenate([own[rare] * buckets + gram[rare] for gram in grams])
+                    keys, n = np.unique(keys, return_counts=True)
+                    yield found(names, keys // buckets, keys % buckets, n)
     for lang, row in order.items():
-        found = np.flatnonzero(counts[row])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * (len(found) + 1), pa.string()),
-                pa.array(np.concatenate([[-1], found]).astype(np.int32)),
-                pa.array(np.concatenate([[documents[row]], counts[row][found]])),
-            ],
-            ["lang", "bucket", "n"],
-        )
+        some = np.flatnonzero(counts[row])
+        yield found([lang], np.zeros(len(some), np.int64), some, counts[row][some])
 
 
 @dataclass(frozen=True)
@@ -92,16 +104,22 @@ class LanguageModel:
         best, score = np.full(len(column), -1), np.zeros(len(column))
         if self.languages:
             limit = (8 << 20) // len(self.languages)
-            for begin, _, texts in parts(column, max(limit, 1 << 14)):
-                grams, text = _hashed_ngrams(texts, letters, len(self.log_probability))
-                if not len(text):
-                    continue
-                first = np.concatenate([[0], np.flatnonzero(text[1:] != text[:-1]) + 1])
-                total = sum(np.add.reduceat(self.log_probability[gram], first, axis=0, dtype=np.float64) for gram in grams)
-                total += self.log_prior
-                top = total.argmax(axis=1)
-                share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                best[begin + text[first]], score[begin + text[first]] = top, share
+            for begin, end, texts in parts(column, max(limit, 1 << 14)):
+                total, some = np.zeros((end - begin, len(self.languages))), np.zeros(end - begin, bool)
+                for grams, text in _hashed_ngrams(texts, letters, len(self.log_probability)):
+                    first = runs(text)
+                    for low in range(0, len(text), step := max(limit, 1 << 14)):  # the rows of so many letters at once
+                        cut = first[(first > low) & (first < low + step)] - low
+                        cut = np.concatenate([np.zeros(1, np.int64), cut])
+                        rows = text[low:][cut]
+                        for gram in grams:
+                            values = self.log_probability[gram[low : low + step]]
+                            total[rows] += np.add.reduceat(values, cut, axis=0, dtype=np.float64)
+                        some[rows] = True
+                total = total[some] + self.log_prior
+                at = begin + np.flatnonzero(some)
+                best[at] = total.argmax(axis=1)
+                score[at] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         return [self.languages[b] if b >= 0 else UNKNOWN for b in best], score
 
 
