@@ -23,6 +23,8 @@ EXAMPLES = 1500
 NEIGHBOURS = 25
 #: Texts whose similarities to all examples are held at once.
 ROWS_A_BLOCK = 1024
+#: Texts whose counts of shapes are a dense matrix.
+DENSE_TEXTS = 512
 THRESHOLD = 0.3
 
 _COUNTS = "term int, n bigint"
@@ -44,11 +46,15 @@ def term_counts(texts: list[bytes], shapes: np.ndarray) -> tuple[np.ndarray, np.
     triple = (shape[:-2] * np.uint32(0x9E3779B1) + shape[1:-1]) * np.uint32(0x85EBCA77) + shape[2:]
     shape_term = ((triple ^ (triple >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - 12)
     ends = np.append(block.start[1:], len(block.data))
-    by_shape = np.zeros((block.count, SHAPE_TERMS), np.int64)
-    for text, (low, high) in enumerate(zip(block.start.tolist(), (ends - 3).tolist())):
-        if high > low:
-            by_shape[text] = np.bincount(shape_term[low:high], minlength=SHAPE_TERMS)
-    shape_text, shape_found = np.nonzero(by_shape)
+    parts = []
+    for begin in range(0, block.count, DENSE_TEXTS):
+        low, high = (edge[begin : begin + DENSE_TEXTS].tolist() for edge in (block.start, ends - 3))
+        by_shape = np.zeros((len(low), SHAPE_TERMS), np.int64)
+        for text, (first, last) in enumerate(zip(low, high)):
+            if last > first:
+                by_shape[text] = np.bincount(shape_term[first:last], minlength=SHAPE_TERMS)
+        text, found = np.nonzero(by_shape)
+        parts.append((begin + text, found, by_shape[text, found]))
 
     words = Words(block)
     hashes = words.hashes()
@@ -59,7 +65,6 @@ def term_counts(texts: list[bytes], shapes: np.ndarray) -> tuple[np.ndarray, np.
     number = np.diff(np.append(first, len(keys)))
     # Words beyond the first of their bucket count as repeated.
     repeats = np.bincount(words.text[adjacent], minlength=block.count), np.bincount(keys[first] // WORD_TERMS, number - 1, block.count)
-    parts = [(shape_text, shape_found, by_shape[shape_text, shape_found])]
     parts.append((keys[first] // WORD_TERMS, SHAPE_TERMS + keys[first] % WORD_TERMS, number))
     for at, count in enumerate(repeats):
         some = np.flatnonzero(count)
