@@ -39,8 +39,6 @@ MOST_ROUNDS = 2
 SMALL, PACK = 64, 2048
 #: Cells and texts of a block: two of them are what one task compares at a time.
 BLOCK_CELLS, BLOCK_TEXTS = 400_000, 2048
-#: Bytes of a comparison after which a task hands freed memory back, which takes some milliseconds.
-LARGE_TABLE = 1 << 22
 PAIR = ("a", "b", "a_component", "b_component")
 
 _SIGNATURE = "weight int, bands array<bigint>"
@@ -153,6 +151,7 @@ def _similarity(left: str, right: str) -> Column:
         found = [np.zeros(0)]
         for begin, end in slices([a + b for a, b in zip(first, second)]):
             found.append(similarities(first[begin:end], second[begin:end]))
+        give_back_memory()
         return pa.array(np.concatenate(found))
 
     exact.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
@@ -222,8 +221,7 @@ class _Compared:
     """Texts of a task with their cells, and links between their components: enough to join what is linked."""
 
     def __init__(self, table: pa.Table, similarity: float):
-        if table.nbytes > LARGE_TABLE:
-            give_back_memory()
+        give_back_memory()
         self.similarity = similarity
         self.component = table.column("component").to_numpy()
         cells, text = _cells(text_bytes(table.column("text")))
@@ -256,6 +254,9 @@ class _Compared:
                 self.joined[self.joined == self.joined[other]] = self.joined[at]
 
     def table(self) -> pa.Table:
+        """The links; the worker, which goes on to other tasks, hands back what the comparison took."""
+        self.cells = self.marked = self.joined = np.zeros(0, np.int64)
+        give_back_memory()
         return pa.table([pa.array([x[n] for x in self.links], pa.int64()) for n in (0, 1)], ["a_component", "b_component"])
 
 
