@@ -144,6 +144,20 @@ def test_many_rows_become_several_files(spark, tmp_path):
     assert sorted(r[0] for r in got) == list(range(1000))
 
 
+def test_a_long_file_is_never_gathered_whole(spark):
+    """Its rows move once, by the names of the files that it becomes."""
+    whole = spark.range(1000).select(F.when(F.col("id") >= 0, "w").alias("__file"), F.lit("ids").alias("sheet"), F.lit(0).alias("place"), F.array("id").alias("cells"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = wb._dealt(whole.repartition(4), 300)
+        text = dealt._jdf.queryExecution().executedPlan().toString()
+        held = dealt.groupBy(F.spark_partition_id().alias("task"), "file").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert len(held) == 4 and sum(row["count"] for row in held) == 1000
+
+
 def test_full_sheets_go_on_in_another(monkeypatch):
     monkeypatch.setattr(wb, "SHEET_ROWS", 3)
     stream = io.BytesIO()
