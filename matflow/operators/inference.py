@@ -39,22 +39,27 @@ def tolerant_timestamp(value: Column) -> Column:
     return F.when(value.rlike(_MOMENT), plain.try_cast("timestamp_ntz"))
 
 
-def _reads(value: Column) -> dict[str, Column]:
-    return {
-        "boolean": value.isin(*_LOGICAL),
-        "integer": value.rlike(_INTEGER),
-        "double": value.rlike(_NUMBER),
-        "time": tolerant_time(value).isNotNull(),
-        "date": value.rlike(DATE_PATTERN + "$") & tolerant_date(value).isNotNull(),
-        "timestamp": tolerant_timestamp(value).isNotNull(),
-    }
+def _bit(name: str) -> Column:
+    return F.lit(1 << TYPES.index(name))
+
+
+def _bits(value: Column) -> Column:
+    """The bits of a text without blanks around it. Numbers, booleans, times and dates look different, so the first
+    look that fits decides, and of most texts only the first few characters are read."""
+    whole = F.when(value.rlike(_INTEGER), _bit("integer")).otherwise(0)
+    # A clock that matches is a time; a date may still name a day that never was.
+    is_time = F.contains(value, F.lit(":")) & value.rlike(f"^{_CLOCK}$")
+    is_dated = (F.contains(value, F.lit("-")) | F.contains(value, F.lit("/"))) & value.rlike(DATE_PATTERN)
+    day = value.rlike(DATE_PATTERN + "$") & tolerant_date(value).isNotNull()
+    dated = [F.when(day, _bit("date")).otherwise(0), F.when(tolerant_timestamp(value).isNotNull(), _bit("timestamp")).otherwise(0)]
+    found = F.when(value.isNull(), F.lit(ALL)).when(value.rlike(_NUMBER), whole + _bit("double"))
+    found = found.when(value.isin(*_LOGICAL), _bit("boolean")).when(is_time, _bit("time"))
+    return found.when(is_dated, reduce(Column.__add__, dated)).otherwise(0)
 
 
 def type_bits(value: Column) -> Column:
     """The bits of what a text can be read as; a missing one (NULL, blank, NA) can be anything."""
-    value = blank_to_null(value)
-    bits = [F.when(test, F.lit(1 << TYPES.index(name))).otherwise(0) for name, test in _reads(value).items()]
-    return F.when(value.isNull(), F.lit(ALL)).otherwise(reduce(Column.__add__, bits))
+    return _bits(blank_to_null(value))
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -62,11 +67,21 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def type_masks(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by, column, mask) of every text column, from one pass with one aggregate a column."""
+    """(by, column, mask) of every text column, from one pass: the cells become rows, with one aggregate for all columns.
+
+    One expression for all columns stays small enough to be compiled, however many columns there are.
+    """
     names = [name for name in text_columns(df) if name not in by]
-    masks = [F.bit_and(type_bits(F.col(f"`{name}`"))).alias(name) for name in names]
-    grouped = df.groupBy(*by).agg(*masks) if by else df.agg(*masks)
-    return grouped.unpivot(list(by), names, "column", "mask").withColumn("mask", F.coalesce("mask", F.lit(ALL)))
+    cells = df.unpivot(list(by), [F.col(f"`{name}`") for name in names], "column", "__text")
+    if not by:  # a missing value of every column: it changes no mask, and a table without rows has masks, too
+        missing = df.sparkSession.createDataFrame([(name, None) for name in names], "column string, __text string")
+        cells = cells.unionByName(missing)
+    read = cells.withColumn("__text", blank_to_null("__text")).withColumn("mask", _bits(F.col("__text")))
+    masks = read.groupBy(*by, "column").agg(F.bit_and("mask").alias("mask"))
+    if not by:  # one row a column, in the table's order
+        place = F.array_position(F.array(*map(F.lit, names)), F.col("column"))
+        masks = masks.coalesce(1).sortWithinPartitions(place)
+    return masks.withColumn("mask", F.coalesce("mask", F.lit(ALL)))
 
 
 def merge_masks(masks: DataFrame) -> DataFrame:

@@ -199,3 +199,32 @@ def test_rejected_orders_are_those_with_missing_fields(spark):
     lines = spark.createDataFrame([("GLB-RP-1~00026~x~y~5~P1~2024-01-02~z",), ("short~1",)], "line string")
     parsed = plans.orders.parse_records(src.checked_records(lines, 8).filter("reason IS NULL"), "po_no")
     assert [r["item"] for r in parsed.collect()] == ["1"]
+
+
+def test_types_of_many_columns_are_one_aggregate(spark):
+    """One expression for all columns: one for each made the compiled method too long for the JIT."""
+    df = spark.createDataFrame([("1", "a.b", "2024-02-30", "2024/02/28")], "`x.1` string, b string, c string, d string")
+    masks = op.type_masks(df)
+    assert masks._jdf.queryExecution().optimizedPlan().toString().count("bit_and(") == 1
+    found = {row["column"]: row["type"] for row in op.types_of(masks).collect()}
+    assert found == {"x.1": "integer", "b": "string", "c": "string", "d": "date"}
+
+
+def test_the_first_look_that_fits_decides_as_every_test_would(spark):
+    from matflow.operators import inference as inf
+
+    texts = ["12", "-0", "007", "1e-5", ".5", "12\n", "T", "true", "1:02", "24:00", "12:30:59.5", "12:30\n", "2024-1-5", "\t2024-01-05", "2024-13-01"]
+    texts += ["2024/01/05 7:00", "2024-01-05T07:00:00Z", "2024-02-30 1:00", "2024-01-05 25:00", "1-2", "a/b", ":", "", " NA ", None, "2024-01-05x"]
+    text, value = F.col("t"), F.trim("t")
+    tests = {
+        "boolean": value.isin(*inf._LOGICAL),
+        "integer": value.rlike(inf._INTEGER),
+        "double": value.rlike(inf._NUMBER),
+        "time": inf.tolerant_time(value).isNotNull(),
+        "date": value.rlike(inf.DATE_PATTERN + "$") & inf.tolerant_date(value).isNotNull(),
+        "timestamp": inf.tolerant_timestamp(value).isNotNull(),
+    }
+    bits = sum((F.when(test, 1 << inf.TYPES.index(name)).otherwise(0) for name, test in tests.items()), F.lit(0))
+    want = F.when(text.isNull() | value.isin("", "NA"), inf.ALL).otherwise(bits)
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", inf.type_bits(text).alias("got"), want.alias("want"))
+    assert [(r["t"], r["got"]) for r in rows.collect()] == [(r["t"], r["want"]) for r in rows.collect()]
