@@ -26,15 +26,37 @@ LAYOUT = "_layout"
 UNEVEN = 4
 
 
-def write_bucketed(df: DataFrame, folder: str, keys: Sequence[str], buckets: int) -> None:
+#: Rows of an average bucket at most; a table has as many times the least number of buckets as this takes, in powers of 2.
+BUCKET_ROWS, MOST_TIMES = 500_000, 1024
+
+
+def bucket_rows(df: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
+    """How many rows have each remainder of the keys' hash by ``buckets`` * ``MOST_TIMES``: one number for each on the driver."""
+    most = buckets * MOST_TIMES
+    rows = [0] * most
+    for row in df.groupBy(F.pmod(F.hash(*keys), F.lit(most)).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
+        rows[row["b"]] = row["n"]
+    return rows
+
+
+def fitting_buckets(rows: Sequence[int], least: int) -> int:
+    """``least`` buckets, or twice, four times ... as many, so that an average one has at most ``BUCKET_ROWS`` rows."""
+    buckets = least
+    while sum(rows) > buckets * BUCKET_ROWS and buckets < least * MOST_TIMES:
+        buckets *= 2
+    return buckets
+
+
+def write_bucketed(df: DataFrame, folder: str, keys: Sequence[str], buckets: int, rows: Sequence[int] | None = None) -> None:
     """``df`` in ``buckets`` files by the hash of ``keys``, each in their order; replaces what the folder had.
 
-    Rows are counted by bucket first. Where one bucket is too hot, rows are written as they are dealt, without buckets.
+    Rows are counted by bucket first, unless ``rows`` tells them by a multiple of ``buckets`` (``bucket_rows``). Where
+    one bucket is too hot, rows are written as they are dealt, without buckets.
     """
     spark = df.sparkSession
-    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
-    rows, most = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
-    even = (most or 0) <= UNEVEN * max(1, (rows or 0) / buckets)
+    rows = bucket_rows(df, keys, buckets) if rows is None else rows
+    most = max(sum(rows[bucket::buckets]) for bucket in range(buckets))
+    even = most <= UNEVEN * max(1, sum(rows) / buckets)
     if even:
         table = f"matflow_{uuid.uuid4().hex}"
         writer = df.repartition(buckets, *keys).write.format("parquet").mode("overwrite").option("path", folder)
@@ -64,7 +86,10 @@ def read_bucketed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publish_demand_inputs(bom: DataFrame, forecast: DataFrame, runs: DataFrame, root: str, buckets: int) -> None:
-    """The lines of every run with their lag-1 snapshot, and the forecast of every snapshot in use, in buckets."""
+    """The lines of every run with their lag-1 snapshot, and the forecast of every snapshot in use, in buckets.
+
+    ``buckets`` is the least number of them; both tables have the same, which grows with the rows of the longer one.
+    """
     reach = forecasts_in_reach(forecast, runs)
     chosen = choose_snapshots(runs, reach)
     complete = F.coalesce(F.col("months_found") >= complete_months(), F.lit(False))
@@ -73,8 +98,11 @@ def publish_demand_inputs(bom: DataFrame, forecast: DataFrame, runs: DataFrame,
     lines = project_positional(bom.drop("as_of"), range(1, BOM_COLUMNS + 1)).columns
     dated = lookup_join(bom, chosen, RUN, null_safe=False).withColumn("known", complete)
     kept = dated.select("as_of", "snapshot_date", "known", *lines).withColumnRenamed("ref", "mfg_ref")
-    write_bucketed(kept, f"{root}/bom_lines", KEYS, buckets)
-    write_bucketed(lag1, f"{root}/forecast_lag1", KEYS, buckets)
+    tables = {"bom_lines": kept, "forecast_lag1": lag1}
+    rows = {name: bucket_rows(df, KEYS, buckets) for name, df in tables.items()}
+    wanted = max(fitting_buckets(counted, buckets) for counted in rows.values())
+    for name, df in tables.items():
+        write_bucketed(df, f"{root}/{name}", KEYS, wanted, rows[name])
 
 
 def bucketed_bom_demand(spark: SparkSession, root: str) -> DataFrame:

@@ -191,6 +191,19 @@ def test_demand_by_bucket_moves_no_row(spark, conf, tmp_path):
     assert len(list((tmp_path / "bom_lines").glob("*.parquet"))) <= 8
 
 
+def test_more_rows_have_more_buckets(spark, conf, tmp_path, monkeypatch):
+    """A task joins one bucket, so its rows must not grow with the table; the join still moves none."""
+    conf(autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(plans.bucketed, "BUCKET_ROWS", 2_000)
+    inputs = (fx.fx_bom_week(spark, SF_DIR), fx.fx_dsx_snapshots(spark, SF_DIR), fx.fx_ship_weeks(spark, SF_DIR))
+    plans.bucketed.publish_demand_inputs(*inputs, str(tmp_path), 8)
+    demand = plans.bucketed.bucketed_bom_demand(spark, str(tmp_path))
+    tasks = [row["count"] for row in demand.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 8 and max(tasks) <= 4 * 2_000
+    assert "Exchange" not in final_plan(demand)
+    assert sum(tasks) == inputs[0].count()
+
+
 def test_a_hot_bucket_is_joined_by_shuffle(spark, conf, tmp_path):
     conf(autoBroadcastJoinThreshold="-1")
     day = F.lit("2024-01-01").cast("date")
