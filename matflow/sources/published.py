@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +19,15 @@ def folder_files(spark: SparkSession, folder: str):
     return system, path, {s.getPath().getName() for s in system.listStatus(path)} if system.exists(path) else set()
 
 
+def _is_constant(spark: SparkSession, value: Column) -> bool:
+    """Whether a value names no column."""
+    try:
+        spark.range(1).select(F.lit(0).alias("__none")).select(value)
+    except AnalysisException:
+        return False
+    return True
+
+
 def publish(
     df: DataFrame,
     root: str,
@@ -31,13 +41,14 @@ def publish(
     ``as_of`` sets the run date of all rows; without it the table must have that column. A row without a run date is
     an error. A listed date without rows loses what it had, once the new rows are written. ``cluster`` brings the rows
     of a run date together first, so that a date gets few files: a rebalance splits a run date that is too large for
-    one task and joins small ones. Switch it off for inputs that already lie by date.
+    one task and joins small ones. Switch it off for inputs that already lie by date; rows that ``as_of`` gives one and
+    the same date lie so anyway and are written where they are, without a shuffle.
     """
     spark = df.sparkSession
     day = F.col("as_of") if as_of is None else as_of
     missing = F.raise_error(F.lit(f"a row of {table} has no run date")).cast("date")
     dated = df.withColumn("as_of", F.coalesce(day, missing))
-    if cluster:
+    if cluster and (as_of is None or not _is_constant(spark, as_of)):
         dated = dated.hint("rebalance", F.col("as_of"))
     folders = [f"{root}/{table}/as_of={day.isoformat()}" for day in run_dates]
     before = {folder: folder_files(spark, folder)[2] for folder in folders}

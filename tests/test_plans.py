@@ -191,6 +191,18 @@ def test_demand_by_bucket_moves_no_row(spark, conf, tmp_path):
     assert len(list((tmp_path / "bom_lines").glob("*.parquet"))) <= 8
 
 
+def test_one_run_date_is_published_without_a_shuffle(spark, tmp_path, monkeypatch):
+    hints = []
+    hint = type(spark.range(0)).hint
+    monkeypatch.setattr(type(spark.range(0)), "hint", lambda df, name, *more: hints.append(name) or hint(df, name, *more))
+    rows = spark.range(0, 100, numPartitions=3).withColumn("day", F.expr("date_add(date '2024-01-02', int(id % 2))"))
+    src.publish_set({"t": rows}, str(tmp_path / "one"), F.lit("2024-01-09").cast("date"))
+    assert hints == [] and len(list((tmp_path / "one").glob("t/*/as_of=2024-01-09/*.parquet"))) == 3
+    assert src.read_set(spark, str(tmp_path / "one"), "t").count() == 100
+    src.publish(rows, str(tmp_path / "two"), "t", F.col("day"))
+    assert hints == ["rebalance"] and len(list((tmp_path / "two").glob("t/*/*.parquet"))) == 2
+
+
 def test_more_rows_have_more_buckets(spark, conf, tmp_path, monkeypatch):
     """A task joins one bucket, so its rows must not grow with the table; the join still moves none."""
     conf(autoBroadcastJoinThreshold="-1")
