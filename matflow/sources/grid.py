@@ -64,7 +64,11 @@ def detect_headers(
 
 
 def promote_header_per_run(
-    grid: DataFrame, header_rows: DataFrame | None = None, run: str = "as_of", names: Sequence[str] = ()
+    grid: DataFrame,
+    header_rows: DataFrame | None = None,
+    run: str = "as_of",
+    names: Sequence[str] = (),
+    tops: DataFrame | None = None,
 ) -> DataFrame:
     """As ``promote_header`` for the grids of many runs: ``header_rows`` (run, header_row) says where each one's is.
 
@@ -74,14 +78,15 @@ def promote_header_per_run(
     All rows are read once, whatever the number of layouts: a run's rows get its header by a join, and every column
     of the result takes the cell that has its name in that layout. A column a layout lacks is NULL. Runs that are not
     listed are left out; a run with two different headers, or none, is an error. The driver reads the different
-    layouts only.
+    layouts only. ``tops`` are the rows of ``grid`` down to the headers, where these can be had without the others.
     """
     cells = [name for name in grid.columns if name not in (run, "row_no")]
     if header_rows is None:
-        header_rows = detect_headers(grid, names, run)
+        header_rows = detect_headers(grid if tops is None else tops, names, run)
     placed = grid.join(header_rows.select(run, "header_row"), run)
+    above = placed if tops is None else tops.join(header_rows.select(run, "header_row"), run)
     layout = F.array(*(F.coalesce(c, F.lit("NA")) for c in cells))
-    headers = placed.filter(F.col("row_no") == F.col("header_row")).select(run, layout.alias("__layout")).distinct()
+    headers = above.filter(F.col("row_no") == F.col("header_row")).select(run, layout.alias("__layout")).distinct()
     counts = header_rows.select(run).distinct().join(headers, run, "left").groupBy(run).agg(F.count("__layout").alias("n"))
     if wrong := [row[run] for row in counts.filter("n <> 1").limit(5).collect()]:
         raise ValueError(f"these runs don't have one header: {wrong}")

@@ -72,10 +72,14 @@ def workbook_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = fx.fx_lot(spark, sf_dir)
     sheets = {name: src.named_sheet(lots, name) for name in ("RM", "FG")}
     src.write_workbooks(sheets, folder, _week_name(), leave_out=["as_of"])
-    grid = src.read_workbooks(spark, folder, len(fx.LOT_COLUMNS), "RM")
-    dated = grid.select(src.as_of_from_path(F.col("file")).alias("as_of"), *grid.columns[2:])
-    heads = dated.select("as_of", F.lit(1).alias("header_row")).distinct()
-    return src.promote_header_per_run(dated, heads)
+
+    def dated(first: int | None = None) -> DataFrame:
+        grid = src.read_workbooks(spark, folder, len(fx.LOT_COLUMNS), "RM", first)
+        return grid.select(src.as_of_from_path(F.col("file")).alias("as_of"), *grid.columns[2:])
+
+    tops = dated(first=1)
+    heads = tops.select("as_of", F.lit(1).alias("header_row")).distinct()
+    return src.promote_header_per_run(dated(), heads, tops=tops)
 
 
 @query

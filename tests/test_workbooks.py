@@ -144,6 +144,27 @@ def test_many_rows_become_several_files(spark, tmp_path):
     assert sorted(r[0] for r in got) == list(range(1000))
 
 
+def test_rows_that_are_xml_fill_sheets(monkeypatch):
+    monkeypatch.setattr(wb, "SHEET_ROWS", 3)
+    stream = io.BytesIO()
+    writer = wb.WorkbookWriter(stream)
+    writer.sheet("po", ["ref"])
+    rows = [f'<row><c t="inlineStr"><is><t>{x}</t></is></c></row>' for x in ("skipped", "a", "b\r", "\uffff", "é", "last")]
+    writer.write_rows(wb.pa.array(rows)[1:5])
+    writer.write_rows(wb.pa.array(rows, "large_string")[5:])
+    writer.close()
+    book = wb.Workbook(stream)
+    assert [cells[0] for name in book.sheets for _, cells in book.rows(name)] == ["ref", "a", "b\r", "ref", "\uffff", "é", "ref", "last"]
+
+
+def test_headers_are_read_without_the_rows_below(spark, tmp_path):
+    """The second sheet row is broken: who reads it fails, and who reads headers doesn't come there."""
+    foreign_workbook(tmp_path / "a.xlsx", "<row><c><v>1</v></c></row>" + " " * 200_000 + "<row><c><v>x</v></c></row>")
+    assert [tuple(r)[2:] for r in src.read_workbooks(spark, str(tmp_path), 1, "BoM", first=1).collect()] == [(1, "1")]
+    with pytest.raises(Exception, match="could not convert"):
+        src.read_workbooks(spark, str(tmp_path), 1, "BoM").collect()
+
+
 def test_a_long_file_is_never_gathered_whole(spark):
     """Its rows move once, by the names of the files that it becomes."""
     whole = spark.range(1000).select(F.when(F.col("id") >= 0, "w").alias("__file"), F.lit("ids").alias("sheet"), F.lit(0).alias("place"), F.array("id").alias("cells"))
