@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matflow.operators.lookups import lookup_join
+from matflow.operators.lookups import broadcast_if_small, lookup_join
 from matflow.plans.bom import bom_demand
 from matflow.plans.exceptions import exception_enriched
 from matflow.plans.forecast import (
@@ -114,7 +114,8 @@ def weekly_bom_demand(
 
     A snapshot serves all runs of a month, so it is pivoted once per snapshot and not once per run. Runs whose
     snapshot is missing or has too few months have no forecast (NULL) and are listed by ``forecast_gaps``. ``months``
-    is what ``monthly_cases`` gives for the forecast, where it is at hand.
+    is what ``monthly_cases`` gives for the forecast, where it is at hand. The pivoted forecast is measured first: where
+    it is small, the wide lines of the bill of materials are not shuffled.
     """
     reach = forecasts_in_reach(forecast, runs) if months is None else months
     chosen = choose_snapshots(runs, reach) if chosen is None else chosen
@@ -123,7 +124,7 @@ def weekly_bom_demand(
     lag1 = (forecast_lag1 if months is None else lag1_of_months)(in_use, by=["snapshot_date"])
     dated = lookup_join(bom, chosen, RUN, null_safe=False)
     keys = ["as_of", "snapshot_date", "months_found"]
-    return bom_demand(dated, lag1, by=["snapshot_date"], keys=keys, known=_complete()).drop("months_found")
+    return bom_demand(dated, broadcast_if_small(lag1), by=["snapshot_date"], keys=keys, known=_complete()).drop("months_found")
 
 
 def weekly_tables(inputs: WeeklyInputs, store: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:

@@ -182,6 +182,17 @@ def test_one_run_reads_one_snapshot(spark, tmp_path):
     assert demand.filter("fcst_m01 > 0").count() > 0
 
 
+def test_demand_of_a_small_forecast_moves_no_line(spark, conf):
+    """The wide lines meet a forecast that measures small where they lie, whatever the planner's bound is."""
+    conf(autoBroadcastJoinThreshold="1k")
+    run = spark.sql("select date '2000-03-06' as as_of")
+    bom = fx.fx_bom(spark, SF_DIR).withColumn("as_of", F.lit("2000-03-06").cast("date"))
+    demand = plans.weekly.weekly_bom_demand(bom, fx.fx_dsx_snapshots(spark, SF_DIR), run)
+    text = final_plan(demand)
+    assert not re.search(r"SortMergeJoin \[[^\]]*mfg_ref", text) and re.search(r"BroadcastHashJoin \[[^\]]*mfg_ref", text)
+    assert demand.count() == bom.count()
+
+
 def test_demand_by_bucket_moves_no_row(spark, conf, tmp_path):
     conf(autoBroadcastJoinThreshold="-1")
     inputs = (fx.fx_bom_week(spark, SF_DIR), fx.fx_dsx_snapshots(spark, SF_DIR), fx.fx_ship_weeks(spark, SF_DIR))
