@@ -8,6 +8,7 @@ version every run date has. Readers follow the newest manifest, so they see all
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Iterable, Mapping
@@ -25,6 +26,8 @@ from matflow.sources.published import folder_files, publish
 FOLDER = "_manifests"
 #: Publications that finish at the same time and have to give way to each other before one gives up.
 MOST_TRIES = 20
+#: The local file system renames in two steps, rows and checksum: threads of one driver take turns. HDFS needs no lock.
+_TURN = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -96,14 +99,15 @@ def publish_set(
             system.delete(path, True)
         raise
     for _ in range(MOST_TRIES):
-        before = read_manifest(spark, root)
-        after = dict(before.tables)
-        for name, df in tables.items():
-            kept = {day: v for day, v in before.tables.get(name, {"dates": {}})["dates"].items() if day not in days}
-            fields = [field for field in df.schema.fields if field.name != "as_of"]
-            after[name] = {"schema": StructType(fields).json(), "dates": {**kept, **dict.fromkeys(found[name], version)}}
-        if _written(spark, root, Manifest(before.number + 1, after)):
-            return before.number + 1
+        with _TURN:
+            before = read_manifest(spark, root)
+            after = dict(before.tables)
+            for name, df in tables.items():
+                kept = {day: v for day, v in before.tables.get(name, {"dates": {}})["dates"].items() if day not in days}
+                fields = [field for field in df.schema.fields if field.name != "as_of"]
+                after[name] = {"schema": StructType(fields).json(), "dates": {**kept, **dict.fromkeys(found[name], version)}}
+            if _written(spark, root, Manifest(before.number + 1, after)):
+                return before.number + 1
     raise RuntimeError(f"{MOST_TRIES} other publications came first")
 
 
