@@ -22,13 +22,14 @@ def named_sheet(grid: DataFrame, sheet: str) -> DataFrame:
     return grid.filter(F.col("sheet") == sheet).drop("sheet")
 
 
-def promote_header(grid: DataFrame, header_row: int) -> DataFrame:
+def promote_header(grid: DataFrame, header_row: int, tops: DataFrame | None = None) -> DataFrame:
     """Use row ``header_row`` as (cleaned) column names and keep the rows after it.
 
-    Only the header row reaches the driver. Two different ones, as in a grid of several files, are an error.
+    Only the header row reaches the driver. Two different ones, as in a grid of several files, are an error. ``tops``
+    are the rows of ``grid`` down to the header, where these can be had without the others.
     """
     cells = [name for name in grid.columns if name != "row_no"]
-    headers = grid.filter(F.col("row_no") == header_row).select(*cells).distinct().take(2)
+    headers = (grid if tops is None else tops).filter(F.col("row_no") == header_row).select(*cells).distinct().take(2)
     if len(headers) != 1:
         raise ValueError(f"row {header_row} should hold one header; found {len(headers) or 'none'}")
     return drop_leading_rows(grid, header_row).select(*cells).toDF(*clean_name_list(headers[0]))

@@ -90,8 +90,8 @@ def workbook_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     src.write_workbooks(tables, folder, F.lit("po, receipt 01.09.2024"), rows=20_000)
     parts = []
     for (sheet, df), table, number in zip(tables.items(), ("po", "receipt"), ("po_no", "receipt_no")):
-        grid = src.read_workbooks(spark, folder, len(df.columns), sheet).drop("file", "sheet")
-        read = src.promote_header(grid, 1).select(*(F.col(f.name).cast(f.dataType) for f in df.schema))
+        grid, tops = (src.read_workbooks(spark, folder, len(df.columns), sheet, n).drop("file", "sheet") for n in (None, 1))
+        read = src.promote_header(grid, 1, tops).select(*(F.col(f.name).cast(f.dataType) for f in df.schema))
         parts.append(read.select(F.lit(table).alias("table"), *df.columns[:-1], F.col(number).alias("number")))
     return parts[0].unionByName(parts[1])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import io
 import os
+import random
 import subprocess
 import sys
 import zipfile
@@ -165,6 +166,105 @@ def test_headers_are_read_without_the_rows_below(spark, tmp_path):
         src.read_workbooks(spark, str(tmp_path), 1, "BoM").collect()
 
 
+def test_the_header_is_promoted_without_the_rows_below(spark, tmp_path):
+    """The second sheet row is broken, and nothing has read it when the columns have their names."""
+    foreign_workbook(tmp_path / "a.xlsx", '<row><c t="str"><v>Item</v></c></row>' + " " * 200_000 + "<row><c><v>x</v></c></row>")
+    grid, tops = (src.read_workbooks(spark, str(tmp_path), 1, "BoM", n).drop("file", "sheet") for n in (None, 1))
+    assert src.promote_header(grid, 1, tops).columns == ["item"]
+
+
+CELLS = [
+    *('<c t="inlineStr"><is><t xml:space="preserve">%s</t></is></c>' % x for x in ("a", "", " é😀 ", "&lt;&amp;lt;&gt;", "_x0041_ _x", "l\nf")),
+    *("<c><v>17.0</v></c>", "<c><v>1E+5</v></c>", "<c><v></v></c>", '<c s="1"><v>45314</v></c>', '<c s="1"><v>60</v></c>'),
+    *('<c s="2"><v>45314.75</v></c>', '<c t="b"><v>1</v></c>', "<c/>", "<c/>"),
+]
+ODD = [
+    *("<c></c>", '<c r="C1"><v>3</v></c>', '<c t="inlineStr"/>', '<c t="str"><v>x</v></c>', '<c t="e"><v>#N/A</v></c>', "<c> <v>1</v></c>"),
+    *("<!--<row>--><c/>", '<c t="inlineStr"><is><t>a</t></is></c>', '<c t="inlineStr"><is><t xml:space="preserve">&#65;></t></is></c>'),
+    *('<c t="inlineStr"><is><t xml:space="preserve"><![CDATA[</row><row>]]></t></is></c>', "<c><f>A1</f><v>2</v></c>"),
+]
+HEAD = f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<worksheet {MAIN}><sheetData>'
+DATES = '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="22"/></cellXfs>'
+
+
+def both_ways(xml: bytes):
+    """The rows of a sheet as the parser and as ``tables`` read it (or the kind of error), and whether columns were used."""
+    stream = io.BytesIO()
+    with zipfile.ZipFile(stream, "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns:r="{LINKS}"><sheets><sheet name="a" r:id="rId1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="rId1" Target="a.xml"/></Relationships>')
+        book.writestr("xl/styles.xml", f"<styleSheet {MAIN}>{DATES}</styleSheet>")
+        book.writestr("xl/a.xml", xml)
+    pieces = []
+
+    def tables():
+        for piece in wb.Workbook(stream).tables("a"):
+            pieces.append(type(piece))
+            yield from zip(*(x.to_pylist() for x in piece)) if isinstance(piece, tuple) else piece
+
+    found = []
+    for read in (lambda: wb.Workbook(stream).rows("a"), tables):
+        try:
+            found.append(list(read()))
+        except Exception as error:
+            found.append(type(error))
+    return *found, tuple in pieces
+
+
+def test_columns_and_parser_read_the_same_rows(monkeypatch):
+    """Random sheets, some with rows that are laid out otherwise and some that are damaged."""
+    draw, by_columns, odd, errors = random.Random(7), 0, 0, 0
+    for n in range(600):
+        monkeypatch.setattr(wb, "CHUNK", draw.choice([150, 1000]))
+        monkeypatch.setattr(wb, "PIECE", draw.choice([50, 300, 5000]))
+        cells = CELLS + ODD if n % 3 == 1 else CELLS
+        rows = ["".join(draw.choices(cells, k=draw.randrange(7))) for _ in range(draw.randrange(40))]
+        opened = [draw.choice(["<row>"] * 30 + ['<row r="77">', '<row spans="1:3">']) if n % 3 == 1 else "<row>" for _ in rows]
+        xml = (HEAD + "".join(f"{a}{b}</row>" for a, b in zip(opened, rows)) + "</sheetData></worksheet>").encode()
+        if n % 3 == 2:
+            at, more = draw.randrange(len(xml)), draw.choice([b"", b"<", b">", b"&", b"\xf5", b"\xfa", b"\xff", b"\x01", b"\r", b"</row>", b"<row>", b"</c>", b"<v>"])
+            xml = xml[:at] + more + xml[at + draw.randrange(8) :]
+        expected, got, columns = both_ways(xml)
+        assert got == expected, xml
+        by_columns, odd, errors = by_columns + columns, odd + (n % 3 == 1 and not columns), errors + isinstance(got, type)
+    assert by_columns > 200 and odd > 20 and errors > 50
+
+
+@pytest.mark.parametrize(
+    "head",
+    [
+        HEAD.replace("UTF-8", "ISO-8859-1"),
+        HEAD.replace("<sheetData>", "<!-- <sheetData> --><sheetData>"),
+        HEAD.replace("<sheetData>", "<!-- <sheetData><row></row> --><sheetData>"),
+        HEAD.replace("<sheetData>", "<sheetData/><!-- <sheetData> <row></row> --><sheetData>"),
+    ],
+)
+def test_other_heads_are_left_to_the_parser(head):
+    row = '<row><c t="inlineStr"><is><t xml:space="preserve">\xe9</t></is></c></row>'
+    code = "latin-1" if "ISO" in head else "utf-8"
+    expected, got, columns = both_ways((head + row + "</sheetData></worksheet>").encode(code))
+    assert expected == got and got[-1][1] == ["\xe9"] and not columns
+
+
+def test_what_the_writer_writes_is_read_by_columns(spark, tmp_path):
+    src.write_workbooks({"All Kinds": odd_table(spark)}, str(tmp_path), F.lit("odd"))
+    with open(tmp_path / "odd.xlsx", "rb") as file:
+        book = wb.Workbook(file)
+        pieces = list(book.tables("All Kinds"))
+        got = [row for piece in pieces if isinstance(piece, tuple) for row in zip(*(x.to_pylist() for x in piece))]
+        assert len(got) == 12 and got == list(book.rows("All Kinds"))
+
+
+def test_one_task_reads_several_small_sheets():
+    def sizes(count, size):
+        return {(f"{n}.xlsx", "a"): size for n in range(count)}
+
+    packs = wb._packed(sizes(5000, 700_000), 128)
+    assert [x for pack in packs for x in pack.sheets] == list(sizes(5000, 0)) and {len(x.sheets) for x in packs} == {5}
+    assert len(wb._packed(sizes(100, 700_000), 128)) == 100
+    assert len(wb._packed(sizes(3, 1 << 30), 1)) == 3 and not wb._packed({}, 128)
+
+
 def test_a_long_file_is_never_gathered_whole(spark):
     """Its rows move once, by the names of the files that it becomes."""
     whole = spark.range(1000).select(F.when(F.col("id") >= 0, "w").alias("__file"), F.lit("ids").alias("sheet"), F.lit(0).alias("place"), F.array("id").alias("cells"))
