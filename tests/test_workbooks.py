@@ -217,6 +217,7 @@ def test_columns_and_parser_read_the_same_rows(monkeypatch):
     for n in range(600):
         monkeypatch.setattr(wb, "CHUNK", draw.choice([150, 1000]))
         monkeypatch.setattr(wb, "PIECE", draw.choice([50, 300, 5000]))
+        monkeypatch.setattr(wb, "SEEN", draw.choice([1, 3, 1 << 16]))
         cells = CELLS + ODD if n % 3 == 1 else CELLS
         rows = ["".join(draw.choices(cells, k=draw.randrange(7))) for _ in range(draw.randrange(40))]
         opened = [draw.choice(["<row>"] * 30 + ['<row r="77">', '<row spans="1:3">']) if n % 3 == 1 else "<row>" for _ in rows]
@@ -255,6 +256,28 @@ def test_what_the_writer_writes_is_read_by_columns(spark, tmp_path):
         assert len(got) == 12 and got == list(book.rows("All Kinds"))
 
 
+def test_rows_move_without_their_markup(spark, tmp_path, monkeypatch):
+    """Each piece of markup is one byte until the writer has the row."""
+    moved = []
+    monkeypatch.setattr(wb, "_dealt", lambda whole, rows, dealt=wb._dealt: moved.append(whole) or dealt(whole, rows))
+    table = spark.createDataFrame([("é<&", 1.5, None)], "t string, x double, missing string")
+    src.write_workbooks({"a": table}, str(tmp_path), F.lit("w"))
+    cells = bytes(moved[0].first()["cells"])
+    assert len(cells) == len("é&lt;&amp;1.5".encode()) + 7
+    row = '<row><c t="inlineStr"><is><t xml:space="preserve">é&lt;&amp;</t></is></c><c><v>1.5</v></c><c/></row>'
+    assert wb._joined(wb.pa.array([cells])) == wb._joined(wb.pa.array([b"", cells], "large_binary")[1:]) == row.encode()
+    with zipfile.ZipFile(tmp_path / "w.xlsx") as book:
+        assert book.read("xl/worksheets/sheet1.xml").decode().endswith(f"{row}</sheetData></worksheet>")
+
+
+def test_a_text_that_is_not_utf8_is_refused(spark, tmp_path):
+    """It could not be read again, and its bytes might look like markup."""
+    table = spark.range(1).select(F.unhex(F.lit("41F6F541")).cast("string").alias("t"))
+    with pytest.raises(Exception, match="UTF8"):
+        src.write_workbooks({"a": table}, str(tmp_path / "out"), F.lit("w"))
+    assert not list(tmp_path.glob("out/*.xlsx"))
+
+
 def test_one_task_reads_several_small_sheets():
     def sizes(count, size):
         return {(f"{n}.xlsx", "a"): size for n in range(count)}
