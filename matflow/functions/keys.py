@@ -11,6 +11,7 @@ from matflow.functions.casts import as_column
 
 MISSING = "NA"
 NON_ALPHANUMERIC = "[^0-9A-Za-z]+"
+SINGLE_HYPHENS = r"^[0-9A-Za-z]*+(?:-[0-9A-Za-z]++)*+-?\z"
 
 
 def _fields(parts: Column, names: Sequence[str]) -> list[Column]:
@@ -30,9 +31,12 @@ def split_fixed(value: Column | str, names: Sequence[str], sep: str = "~") -> li
 def split_regex(value: Column | str, names: Sequence[str]) -> list[Column]:
     """Named parts of a compound code, cut at every run of non-alphanumeric characters.
 
-    Runs become one '~' first: ``split`` would compile its expression anew for every row.
+    Runs become one '~' first: ``split`` would compile its expression anew for every row. Where all runs are one
+    hyphen, a plain replacement gives the same and takes a fraction of the time.
     """
-    marked = F.regexp_replace(as_column(value), NON_ALPHANUMERIC, "~")
+    value = as_column(value)
+    hyphens = F.replace(value, F.lit("-"), F.lit("~"))
+    marked = F.when(value.rlike(SINGLE_HYPHENS), hyphens).otherwise(F.regexp_replace(value, NON_ALPHANUMERIC, "~"))
     return split_fixed(marked, names, "~")
 
 

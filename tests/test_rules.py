@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +122,13 @@ def test_compound_code_parts(spark):
     ]
 
 
+def test_compound_codes_with_single_hyphens(spark):
+    """These are cut without the general expression; a line feed at the end, two hyphens and other letters are not."""
+    codes = ["a-b-c", "-a-b", "a-b-", "a", "", "-", "a-b\n", "a--b", "--", "a-é-b", "a-b~c"]
+    got = spark.createDataFrame([(c,) for c in codes], "code string").select("code", *fn.split_regex("code", ["x", "y", "z"])).collect()
+    assert {r["code"]: tuple(r)[1:] for r in got} == {c: tuple((re.split("[^0-9A-Za-z]+", c) + [None] * 3)[:3]) for c in codes}
+
+
 def test_missing_description_is_dropped(spark):
     df = spark.createDataFrame(
         [(None,), ("PWS x",), ("PWSx",), ("PALLETS",), ("SUB a",), ("THW a",), ("ok",)], "d string"
